@@ -66,8 +66,8 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-_WORDS = r"""list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '')"""
+_WORDS = r"""[x FOR x IN string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') IF x <> '']"""
 
 ORACLE: dict[str, str] = {
     "op7_decontaminate": f"""
