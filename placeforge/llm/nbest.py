@@ -4,10 +4,13 @@ The lattice of a text has an arc for each piece of the vocabulary that occurs in
 piece fits a character. Forward Viterbi scores give the best score from the start to each position. They are
 exact heuristics for a backward A* search from the end, so it pops the n best paths in order of score.
 
-No piece holds a word mark after another character (checked when the vocabulary is read), so every path
-passes through the place before each word, and the lattice of a text falls apart there. The search runs on
-each distinct word once for each task; the n best of the text are the least-cost choices of alternatives
-over its words, popped from one heap. The result is the same as a search over the whole lattice.
+No piece holds a word mark after another character, or a line end (checked when the vocabulary is read), so
+every path passes through the place before each word and around each line end; none holds punctuation beside
+other characters (those that do share a piece with it count as punctuation), so every path passes between the
+two. At these places the lattice of a text falls apart. Viterbi runs on each distinct word that a task
+remembers; one pass back over the same arcs gives what a word's second best path loses. Only the n words of a text that lose least can differ in its n best paths; A* runs on those, and the n
+best of the text are the least-cost choices among their alternatives, popped from one heap. The result is the
+same as a search over the whole lattice.
 
 The published vocabulary's piece scores are merge ranks; the search maximises their sum, as for a unigram
 vocabulary. Nothing is trained.
@@ -19,10 +22,11 @@ give repeated results. Extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
-from functools import lru_cache
 
+import ahocorasick
 from pyspark.sql import DataFrame
 
 from placeforge.llm.common import map_columns
@@ -32,9 +36,10 @@ N_BEST = 4
 MARK = "▁"
 #: Score of a byte piece, below every other.
 BYTE_SCORE = -1e6
-#: Distinct words whose segmentations one task remembers.
-REMEMBERED = 200_000
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Distinct words that one worker process remembers, and as many again from before.
+REMEMBERED = 300_000
+#: Characters that no piece should hold beside others.
+PUNCTUATION = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
 class Vocabulary:
@@ -43,9 +48,34 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], names: list[str]):
         self.pieces, self.bytes, self.names = pieces, bytes_, names
         self.longest = max(map(len, pieces), default=1)
+        # Every start of a piece, with the piece itself where it is one.
+        self.starts: dict[str, tuple[int, float] | None] = {}
+        for p in pieces:
+            for k in range(1, len(p)):
+                self.starts.setdefault(p[:k], None)
+        self.starts.update(pieces)
+        self.singles = frozenset(p for p in pieces if len(p) == 1)
+        self.automaton = ahocorasick.Automaton()
+        for p, (k, w) in pieces.items():
+            self.automaton.add_word(p, (len(p), (k,), w))
+        if pieces:
+            self.automaton.make_automaton()
+        self.is_byte = [False] * len(names)
+        for k in bytes_:
+            self.is_byte[k] = bool(pieces) and names[k].startswith("<0x")
+        self.raw = [bytes([int(p[3:5], 16)]) if self.is_byte[k] else p.encode("utf-8") for k, p in enumerate(names)]
         self.byte_of = {k: b for b, k in enumerate(bytes_)}
-        if any(MARK in p.lstrip(MARK) for p in pieces):
+        if any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces):
             raise ValueError("a piece spans words")
+        # Characters that share a piece with punctuation, marks aside, count as punctuation too.
+        apart, grown = set(PUNCTUATION), True
+        while grown:
+            mixed = [set(p) - {MARK} for p in pieces if not apart.isdisjoint(p)]
+            new = set().union(*mixed) - apart
+            apart |= new
+            grown = bool(new)
+        inner = "".join(map(re.escape, sorted(apart)))
+        self.words = re.compile(f"{MARK}*[^{inner}{MARK}\n]+|{MARK}*[{inner}]+|{MARK}+|\n").findall
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
@@ -62,93 +92,160 @@ class Vocabulary:
         return cls(pieces, bytes_, names)
 
 
-def arcs(word: str, voc: Vocabulary) -> list[list[tuple[int, tuple[int, ...], float]]]:
-    """For each end position: (start, ids, score) of the arcs that end there."""
-    n, out = len(word), [[] for _ in range(len(word) + 1)]
+def arcs(word: str, voc: Vocabulary) -> list[tuple[int, int, tuple[int, ...], float]]:
+    """(start, end, ids, score) of every arc; by end from the automaton, by start where bytes are needed."""
+    if voc.singles.issuperset(word):
+        return [(e + 1 - k, e + 1, i, w) for e, (k, i, w) in voc.automaton.iter(word)]
+    out, n, get = [], len(word), voc.starts.get
     for s in range(n):
-        for e in range(s + 1, min(n, s + voc.longest) + 1):
-            p = voc.pieces.get(word[s:e])
+        single = False
+        for e in range(s + 1, n + 1):
+            p = get(word[s:e], 0)
+            if p == 0:
+                break
             if p is not None:
-                out[e].append((s, (p[0],), p[1]))
-        if word[s] not in voc.pieces:
+                single |= e == s + 1
+                out.append((s, e, (p[0],), p[1]))
+        if not single:
             raw = word[s].encode("utf-8", "surrogatepass")
-            out[s + 1].append((s, tuple(voc.bytes[b] for b in raw), BYTE_SCORE * len(raw)))
+            out.append((s, s + 1, tuple(voc.bytes[b] for b in raw), BYTE_SCORE * len(raw)))
     return out
 
 
-def forward(lattice: list) -> list[float]:
-    """The best score of a path from the start to each position."""
-    best = [0.0] + [float("-inf")] * (len(lattice) - 1)
-    for e in range(1, len(lattice)):
-        best[e] = max((best[s] + w for s, _, w in lattice[e]), default=float("-inf"))
-    return best
+def viterbi(word: str, voc: Vocabulary) -> tuple[float, tuple[int, ...], float, int]:
+    """Best score, its ids, the loss of the second best path (infinite where there is one path only), byte pieces."""
+    n, low = len(word), float("-inf")
+    ahead, came, lattice = [0.0] + [low] * n, [None] * (n + 1), []
+    add, plain = lattice.append, voc.singles.issuperset(word)
+    if plain:  # one pass of the automaton finds all arcs, by end
+        for e, (k, i, w) in voc.automaton.iter(word):
+            e += 1
+            s = e - k
+            v = ahead[s] + w
+            if v > ahead[e]:
+                ahead[e] = v
+                came[e] = (s, i)
+            add((s, e, w, v))
+    else:
+        for s, e, i, w in sorted(arcs(word, voc), key=lambda x: x[1]):
+            v = ahead[s] + w
+            if v > ahead[e]:
+                ahead[e] = v
+                came[e] = (s, i)
+            add((s, e, w, v))
+    at, ids, on = n, (), {}
+    while at:
+        s, i = came[at]
+        ids = i + ids
+        on[at] = s
+        at = s
+    # Any other path has an arc off the best one; the best path through an arc is known from both sides.
+    best, second, back = ahead[n], low, [low] * n + [0.0]
+    for s, e, w, v in reversed(lattice):
+        b = back[e]
+        if w + b > back[s]:
+            back[s] = w + b
+        v += b
+        if v > second and (v < best or on.get(e) != s):
+            second = v
+    return best, ids, best - second, 0 if plain else sum(voc.is_byte[i] for i in ids)
 
 
 def n_best(word: str, voc: Vocabulary, n: int = N_BEST) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best (score, ids) of one lattice, best first; ties by ids."""
-    lattice = arcs(word, voc)
-    best = forward(lattice)
-    end = len(word)
-    # Entries: -(score of the path so far back from the end + exact best score before it), then the path.
-    heap: list[tuple[float, tuple[int, ...], int, float]] = [(-best[end], (), end, 0.0)]
+    """The n best (score, ids) of one lattice, best first, by A* back from the end."""
+    into: list[list] = [[] for _ in range(len(word) + 1)]
+    ahead = [0.0] + [float("-inf")] * len(word)
+    for s, e, ids, w in sorted(arcs(word, voc), key=lambda x: x[0]):
+        into[e].append((s, ids, w))
+        ahead[e] = max(ahead[e], ahead[s] + w)
+    # (-(score back from the end + exact best before), tie, place, score so far, path as a linked list).
+    # Of equal entries the newest goes first, so ties are followed to their end and not all at once.
+    heap: list = [(-ahead[-1], 0, len(word), 0.0, None)]
     out: list[tuple[float, tuple[int, ...]]] = []
-    while heap and (len(out) < n or -heap[0][0] == out[-1][0]):
-        _, ids, at, back = heapq.heappop(heap)
+    tie = 0
+    while heap and len(out) < n:
+        _, _, at, score, path = heapq.heappop(heap)
         if at == 0:
-            out.append((back, ids))
-            if len(out) >= 4 * n:
-                break
+            ids = []
+            while path is not None:
+                ids += path[0]
+                path = path[1]
+            out.append((score, tuple(ids)))
             continue
-        for s, more, w in lattice[at]:
-            heapq.heappush(heap, (-(best[s] + back + w), more + ids, s, back + w))
-    out.sort(key=lambda x: (-x[0], x[1]))
-    return out[:n]
+        for s, ids, w in into[at]:
+            tie -= 1
+            heapq.heappush(heap, (-(ahead[s] + score + w), tie, s, score + w, (ids, path)))
+    return out
 
 
-def words_of(text: str) -> list[str]:
-    """The escaped text, cut before each word."""
-    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+def words_of(text: str, voc: Vocabulary) -> list[str]:
+    """The escaped text, cut where every path passes."""
+    return voc.words(MARK + text.replace(" ", MARK)) if text else []
 
 
 class Encoder:
     """n best segmentations of whole texts, with a memory of words."""
 
     def __init__(self, voc: Vocabulary, n: int = N_BEST):
-        self.voc, self.n = voc, n
-        self.word = lru_cache(maxsize=REMEMBERED)(lambda w: tuple(n_best(w, voc, n)))
-
-    def encode(self, text: str | None) -> list[tuple[float, list[int]]]:
-        """The n best of a text, best first."""
-        words = words_of(text or "")
-        found = [self.word(w) for w in words]
-        top = [x[0] for x in found]
-        score = sum(s for s, _ in top)
-        # Only the places with the least losses can take part in the n best; each keeps its order.
-        steps = heapq.nsmallest(self.n, ((x[0][0] - x[1][0], k) for k, x in enumerate(found) if len(x) > 1))
-        places = [k for _, k in steps]
+        self.voc, self.n, self.known, self.older, self.others = voc, n, {}, {}, {}
+
+    def look(self, words: list[str]) -> list[tuple[float, tuple[int, ...], float, int]]:
+        """viterbi() of each word."""
+        if len(self.known) > REMEMBERED:  # words met since the last time stay for one more
+            self.older, self.known, self.others = self.known, {}, {}
+        known, older, voc = self.known, self.older, self.voc
+        for w in set(words).difference(known):
+            known[w] = older.get(w) or viterbi(w, voc)
+        return [known[w] for w in words]
+
+    def other(self, word: str, best: float, ids: tuple[int, ...]) -> list[tuple[float, tuple[int, ...] | None]]:
+        """(loss, ids) of a word's alternatives, the best path (None) first."""
+        if word not in self.others:
+            # n + 1 of them, as the best one may stand anywhere among its equals.
+            found = [(best - s, i) for s, i in n_best(word, self.voc, self.n + 1) if i != ids]
+            self.others[word] = [(0.0, None), *found][: self.n]
+        return self.others[word]
+
+    def paths(self, text: str | None) -> tuple[list[tuple], list[tuple[float, dict[int, tuple[int, ...]]]]]:
+        """The best path by words, and the n best as (score, {word index: its other ids}), best first."""
+        words = words_of(text or "", self.voc)
+        found = self.look(words)
+        score = sum([x[0] for x in found])
+        losses = [x[2] for x in found]
+        places = [k for k in heapq.nsmallest(self.n - 1, range(len(found)), key=losses.__getitem__) if losses[k] != float("inf")]
+        options = [self.other(words[k], *found[k][:2]) for k in places]
         heap: list[tuple[float, tuple[int, ...]]] = [(0.0, (0,) * len(places))]
-        seen = {heap[0][1]}
-        out: list[tuple[float, list[int]]] = []
+        seen, out = {heap[0][1]}, []
         while heap and len(out) < self.n:
             loss, pick = heapq.heappop(heap)
-            chosen = dict(zip(places, pick, strict=True))
-            out.append((score - loss, [i for k, x in enumerate(found) for i in x[chosen.get(k, 0)][1]]))
-            for j, k in enumerate(places):
-                if pick[j] + 1 < len(found[k]):
+            out.append((score - loss, {k: options[j][p][1] for j, (k, p) in enumerate(zip(places, pick, strict=True)) if p}))
+            for j in range(len(places)):
+                if pick[j] + 1 < len(options[j]):
                     nxt = (*pick[:j], pick[j] + 1, *pick[j + 1 :])
                     if nxt not in seen:
                         seen.add(nxt)
-                        heapq.heappush(heap, (loss + found[k][pick[j]][0] - found[k][pick[j] + 1][0], nxt))
-        return out
+                        heapq.heappush(heap, (loss - options[j][pick[j]][0] + options[j][pick[j] + 1][0], nxt))
+        return found, out
+
+    def encode(self, text: str | None) -> list[tuple[float, list[int]]]:
+        """The n best of a text, best first."""
+        found, out = self.paths(text)
+        return [(s, [i for k, x in enumerate(found) for i in change.get(k, x[1])]) for s, change in out]
 
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids."""
-        out = bytearray()
-        for i in ids:
-            b = self.voc.byte_of.get(i)
-            out += bytes([b]) if b is not None and self.voc.names[i].startswith("<0x") else self.voc.names[i].encode("utf-8")
-        text = out.decode("utf-8", "surrogatepass").replace(MARK, " ")
-        return text[1:]
+        raw = self.voc.raw
+        return b"".join([raw[i] for i in ids]).decode("utf-8", "surrogatepass").replace(MARK, " ")[1:]
+
+
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(model: str = MODEL, n: int = N_BEST) -> Encoder:
+    """The process's own encoder, with what it remembers from earlier tasks."""
+    if (model, n) not in _ENCODERS:
+        _ENCODERS[model, n] = Encoder(Vocabulary.load(model), n)
+    return _ENCODERS[model, n]
 
 
 SCHEMA = (
@@ -160,30 +257,31 @@ SCHEMA = (
 def encode_documents(df: DataFrame, model: str = MODEL, n: int = N_BEST, ids: bool = True) -> DataFrame:
     """The best ids of each row of df (doc_id, text), how the second best differs, and the round trip.
 
-    `second_at` is the piece index where the second path leaves the first, `second_ids` what it has up to
-    where they meet again. `exact` says that the decoded ids are the text. With ids=False both id lists stay
+    The second path has other ids for one word: `second_at` is the piece index where that word starts,
+    `second_ids` what it has there. `exact` says that the decoded ids are the text. With ids=False both id lists stay
     null. A mark character in the text itself can't be told from an escaped space, so `exact` is false there.
     """
 
     def make():
-        enc = Encoder(Vocabulary.load(model), n)
+        enc = encoder(model, n)
 
         def run(doc_ids, texts):
+            # Words are remembered in tuples without cycles; the collector would walk them again and again.
+            gc.disable()
             rows = []
             for d, t in zip(doc_ids, texts, strict=True):
                 t = t or ""
-                paths = enc.encode(t)
-                score, best = paths[0]
+                found, paths = enc.paths(t)
+                best = [i for x in found for i in x[1]]
                 at, other = None, None
-                if len(paths) > 1:
-                    two = paths[1][1]
-                    at = next((k for k, (a, b) in enumerate(zip(best, two, strict=False)) if a != b), min(len(best), len(two)))
-                    back = 0
-                    while back < min(len(best), len(two)) - at and best[-1 - back] == two[-1 - back]:
-                        back += 1
-                    other = two[at : len(two) - back]
-                n_bytes = sum(i in enc.voc.byte_of for i in best)
-                rows.append((d, len(t), len(best), n_bytes, len(paths), score, paths[-1][0], best if ids else None, at, other if ids else None, enc.decode(best) == t))
+                if len(paths) > 1:  # the second path changes one word
+                    ((k, other),) = paths[1][1].items()
+                    at = sum(len(x[1]) for x in found[:k])
+                    other = list(other)
+                n_bytes = sum([x[3] for x in found])
+                rows.append((d, len(t), len(best), n_bytes, len(paths), paths[0][0], paths[-1][0], best if ids else None, at, other if ids else None, enc.decode(best) == t))
+            gc.freeze()
+            gc.enable()
             return list(map(list, zip(*rows, strict=True)))
 
         return run
