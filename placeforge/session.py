@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 #: Settings that hold at any size; adaptive execution picks partition counts and splits skewed joins.
@@ -23,3 +28,20 @@ def session(app: str = "placeforge", master: str | None = None, **settings: str)
     for k, v in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, so that Python functions can be unpickled wherever the driver started.
+
+    Once for each context; the archive is a few dozen source files.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_placeforge_shipped", False):
+        return
+    top = pathlib.Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="placeforge-"), "placeforge-source.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(top.rglob("*.py")):
+            z.write(path, str(path.relative_to(top.parent)))
+    context.addPyFile(archive)
+    context._placeforge_shipped = True
