@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeforge.llm.common import durable
+
 WINDOW = 13
 #: Words whose hash is looked up before a window is verified.
 KEY_WORDS = 5
@@ -30,10 +32,25 @@ SHARE = 20
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def spaced(text: str) -> Column:
+    """The normalised words of a text column with single spaces between them; empty for null and wordless texts."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    # Where all is ASCII the plain function lower-cases the same letters, and faster.
+    low = F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, _UP, _LOW))
+    return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+
+
 def words(text: str) -> Column:
     """The normalised words of a text column; an empty array for null and wordless texts."""
-    spaced = F.trim(F.regexp_replace(F.translate(F.coalesce(F.col(text), F.lit("")), _UP, _LOW), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " ", -1))
+    s = spaced(text)
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, " ", -1))
+
+
+def with_word_count(documents: DataFrame) -> DataFrame:
+    """doc_id, text hash and n_words; counting spaces is cheaper than cutting."""
+    s = documents.select("doc_id", F.xxhash64("text").alias("th"), spaced("text").alias("s"))
+    n = F.octet_length("s") - F.octet_length(F.replace(F.col("s"), F.lit(" "), F.lit(""))) + 1
+    return s.select("doc_id", "th", F.when(F.col("s") == "", 0).otherwise(n).cast("long").alias("n_words"))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -85,7 +102,7 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of each row of documents."""
-    own = documents.select("doc_id", F.xxhash64("text").alias("th"), F.size(words("text")).cast("long").alias("n_words"))
+    own = with_word_count(documents)
     h = hits(documents, benchmark, window).select(F.col("doc_id").alias("d2"), F.col("th").alias("t2"), "n_hit", "items")
     out = own.join(h, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
@@ -102,7 +119,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_rows(documents: DataFrame, bad: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
     """documents without the rows whose (doc_id, text hash) is in bad; texts stay in place while bad is small."""
     keys = bad.select(F.col("doc_id").alias("__d"), F.col("th").alias("__t")).distinct()
-    small = keys.limit(most + 1).count() <= most
+    keys = durable(keys, "dropped")
+    small = keys.count() <= most
     on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
     return documents.join(F.broadcast(keys) if small else keys, on, "left_anti")
 
@@ -110,7 +128,7 @@ def drop_rows(documents: DataFrame, bad: DataFrame, most: int = BROADCAST_KEYS)
 def bad_rows(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id and text hash of the contaminated rows."""
     h = hits(documents, benchmark, window).select(F.col("doc_id").alias("d2"), F.col("th").alias("t2"), "n_hit")
-    own = documents.select("doc_id", F.xxhash64("text").alias("th"), F.size(words("text")).cast("long").alias("n_words"))
+    own = with_word_count(documents)
     both = own.join(h, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2")))
     return both.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id", "th")
 
