@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Rows in one Arrow batch. Texts can be long, so a batch stays small and a worker's memory bounded.
 BATCH_ROWS = 256
+#: Bytes after which a batch ends, however few its rows.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,8 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the Arrow batches of what is executed next."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
