@@ -7,7 +7,7 @@ Edges branch off before records are filtered.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeforge import constants as K
@@ -20,24 +20,35 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("pos"))
 
 
+_SUBJECT = f"<{K.ENTITY_IRI}Q"
+
+
+def settled(df: DataFrame, *columns) -> DataFrame:
+    """The columns, worked out once: filters above are not pushed into them.
+
+    Catalyst would write a pushed filter out in full, with every nested cut repeated for each mention.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """subject, field, value, lang, pos, kind of the lines that are kept; kind is iri, lit, blank or bad.
 
-    Kept are lines with an entity subject and a listed property, a label or an alias. Whitespace and the dot at
-    the end are optional, as dumps are cut.
+    Kept are lines with an entity subject and a listed property, a label or an alias. Most lines of a dump end at
+    the two filters, which only cut at the first angle brackets; the object is looked at after them. Whitespace
+    and the dot at the end are optional, as dumps are cut.
     """
-    parts = r"^<" + K.ENTITY_IRI.replace(".", r"\.") + r"Q([0-9]+)> <([^>]*)> (?s:(.*))$"
-    body = F.regexp_replace(F.col("line"), r"\s*\.\s*\z", "")
-    raw = lines.filter(F.col("line").startswith(f"<{K.ENTITY_IRI}Q"))
-    cut = raw.select(
-        F.regexp_extract(body, parts, 1).try_cast("bigint").alias("subject"),
-        F.regexp_extract(body, parts, 2).alias("predicate"),
-        F.trim(F.regexp_extract(body, parts, 3)).alias("object"),
-        "pos",
-    ).filter(F.col("subject").isNotNull())
-    fields = F.create_map(*[F.lit(x) for p, f in K.PROPERTIES.items() for x in (K.DIRECT_IRI + p, f)], F.lit(K.LABEL_IRI), F.lit("labels"), F.lit(K.ALIAS_IRI), F.lit("alt_labels"))
-    named = cut.withColumn("field", F.try_element_at(fields, F.col("predicate"))).filter(F.col("field").isNotNull())
-    return with_object(named).select("subject", "field", "value", "lang", "pos", "kind")
+    fields = {K.DIRECT_IRI + p: f for p, f in K.PROPERTIES.items()} | {K.LABEL_IRI: "labels", K.ALIAS_IRI: "alt_labels"}
+    rest = F.substring("line", len(_SUBJECT) + 1, 1 << 30)
+    cut = lines.filter(F.col("line").startswith(_SUBJECT)).select(F.substring_index(rest, ">", 1).alias("q"), rest.alias("rest"), "pos")
+    cut = cut.select("q", F.substring("rest", F.length("q") + 4, F.lit(1 << 30)).alias("rest"), "pos")
+    cut = settled(cut, "q", F.substring_index("rest", ">", 1).alias("predicate"), "rest", "pos").filter(F.col("predicate").isin(list(fields)))
+    end = F.rtrim(F.substring("rest", F.length("predicate") + 3, F.lit(1 << 30)), F.lit(" \t\r"))
+    undotted = F.when(end.endswith("."), F.rtrim(F.substring(end, F.lit(1), F.length(end) - 1), F.lit(" \t\r"))).otherwise(end)
+    names = F.create_map(*[F.lit(x) for kv in fields.items() for x in kv])
+    named = settled(cut, F.col("q").try_cast("bigint").alias("subject"), F.element_at(names, F.col("predicate")).alias("field"), undotted.alias("object"), "pos")
+    parsed = with_object(named.filter(F.col("subject").isNotNull()))
+    return parsed.select("subject", "field", "value", "lang", "pos", "kind")
 
 
 def with_object(df: DataFrame) -> DataFrame:
@@ -50,12 +61,16 @@ def with_object(df: DataFrame) -> DataFrame:
     iri = o.startswith("<") & o.endswith(">")
     literal = o.rlike(r'(?s)^".*"(?:@[^"]*|\^\^<[^"]*>)?\z')
     blank = o.startswith("_:")
-    inner = F.regexp_extract(o, r'(?s)^"(.*)"(?:@[^"]*|\^\^<[^"]*>)?\z', 1)
     kind = F.when(iri, "iri").when(blank, "blank").when(literal, "lit").otherwise("bad")
-    iri_value = F.regexp_replace(o.substr(F.lit(2), F.length(o) - 2), "^" + K.ENTITY_IRI.replace(".", r"\."), "")
-    value = F.when(iri, iri_value).when(blank, "somevalue").when(literal, unescape_column(F.when(literal, inner)))
-    lang = F.when(literal, F.nullif(F.regexp_extract(o, r'(?s)"@([^"]*)\z', 1), F.lit("")))
-    return df.withColumn("kind", kind).withColumn("value", value).withColumn("lang", lang)
+    known = settled(df, *df.columns, kind.alias("kind"))
+    is_iri, is_literal, o = F.col("kind") == "iri", F.col("kind") == "lit", F.col("object")
+    inner = F.when(is_literal, F.regexp_extract(o, r'(?s)^"(.*)"(?:@[^"]*|\^\^<[^"]*>)?\z', 1))
+    bare = o.substr(F.lit(2), F.length(o) - 2)
+    iri_value = F.when(bare.startswith(K.ENTITY_IRI), bare.substr(F.lit(len(K.ENTITY_IRI) + 1), F.length(bare))).otherwise(bare)
+    lang = F.when(is_literal & F.contains(o, F.lit('"@')), F.nullif(F.regexp_extract(o, r'(?s)"@([^"]*)\z', 1), F.lit("")))
+    raw = F.when(is_iri, iri_value).when(is_literal, inner).when(F.col("kind") == "blank", "somevalue")
+    out = settled(known, *known.columns, raw.alias("value"), lang.alias("lang"))
+    return out.withColumn("value", F.when(F.col("kind") == "lit", unescape_column(F.col("value"))).otherwise(F.col("value")))
 
 
 def kept_statements(parsed: DataFrame) -> DataFrame:
@@ -68,41 +83,26 @@ def kept_statements(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _ordered(field: str) -> Column:
-    """Distinct values of a field in dump order."""
-    rows = F.array_sort(F.collect_list(F.when(F.col("field") == field, F.struct("pos", "value"))))
-    return F.array_distinct(F.transform(rows, lambda x: x["value"]))
-
-
-def _first(field: str) -> Column:
-    return F.min_by("value", F.when(F.col("field") == field, F.col("pos")))
-
-
 def group_subjects(statements: DataFrame) -> DataFrame:
     """One row for each subject: first scalars, ordered distinct lists, first text and all aliases by language.
 
-    Lists and `contains` are null where the subject has none.
+    Lists and `contains` are null where the subject has none. One shuffle by subject serves both groupings: first
+    the ordered values of each field, then a map of the fields of each subject.
     """
-    rows = lambda f: F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("pos", "lang", "value"))))
-    lists = [n for n in K.MULTI_FIELDS]
-    scalars = [f.name for f in ENTITY if f.dataType.simpleString() == "string"]
-    cols = [F.nullif(_ordered(f), F.array().cast("array<string>")).alias(f) for f in lists]
-    cols += [_first(f).alias(f) for f in scalars]
-    cols += [rows(f).alias(f"__{f}") for f in ("labels", "demonym", "alt_labels")]
-    g = statements.groupBy(F.col("subject").alias("id")).agg(*cols)
-
-    def first_by_lang(c: str) -> Column:
-        langs = F.array_distinct(F.transform(F.col(c), lambda x: x["lang"]))
-        entry = lambda k: F.struct(k, F.element_at(F.filter(F.col(c), lambda x: x["lang"] == k), 1)["value"])
-        return F.when(F.size(c) > 0, F.map_from_entries(F.transform(langs, entry)))
-
-    def all_by_lang(c: str) -> Column:
-        langs = F.array_distinct(F.transform(F.col(c), lambda x: x["lang"]))
-        entry = lambda k: F.struct(k, F.transform(F.filter(F.col(c), lambda x: x["lang"] == k), lambda x: x["value"]))
-        return F.when(F.size(c) > 0, F.map_from_entries(F.transform(langs, entry)))
-
-    g = g.withColumn("labels", first_by_lang("__labels")).withColumn("demonym", first_by_lang("__demonym")).withColumn("alt_labels", all_by_lang("__alt_labels"))
-    return g.select(*[f.name for f in ENTITY], "contains")
+    dealt = statements.repartition("subject")
+    rows = F.array_sort(F.collect_list(F.struct("pos", "value", "lang"))).alias("rows")
+    by_field = dealt.groupBy("subject", "field").agg(rows)
+    g = by_field.groupBy(F.col("subject").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("field", "rows"))).alias("m"))
+    field = lambda f: F.try_element_at("m", F.lit(f))
+    values = lambda f: F.transform(field(f), lambda x: x["value"])
+    langs = lambda f: F.array_distinct(F.transform(field(f), lambda x: x["lang"]))
+    of = lambda f, k: F.filter(field(f), lambda x: x["lang"] == k)
+    first = lambda f: F.map_from_entries(F.transform(langs(f), lambda k: F.struct(k, F.element_at(of(f, k), 1)["value"])))
+    every = lambda f: F.map_from_entries(F.transform(langs(f), lambda k: F.struct(k, F.transform(of(f, k), lambda x: x["value"]))))
+    cols = {f.name: F.get(field(f.name), F.lit(0))["value"] for f in ENTITY if f.dataType.simpleString() == "string"}
+    cols |= {f: F.array_distinct(values(f)) for f in K.MULTI_FIELDS}
+    cols |= {"id": F.col("id"), "labels": first("labels"), "demonym": first("demonym"), "alt_labels": every("alt_labels")}
+    return g.select(*[cols[n].alias(n) for n in (*[f.name for f in ENTITY], "contains")])
 
 
 def edges(grouped: DataFrame) -> dict[str, DataFrame]:
