@@ -6,6 +6,11 @@ within 3 bits. Two fingerprints at most t bits apart differ in at most t // 3 bi
 home anchor of either is within 3 + t // 3 bits of the other. So each distinct fingerprint goes to all
 anchors within that distance, and at each anchor those at home are compared with all that came.
 
+Past PAIRED_FROM distinct fingerprints an anchor is a pair of code words, of two blocks at a time: some two
+blocks differ in at most 2 * t // 3 bits together, so a fingerprint goes to all pairs whose distances exceed
+the radius by no more than that in sum. That is more copies of each and far fewer at each anchor; the links
+are the same.
+
 Equal fingerprints are one fingerprint before anything is copied. An anchor's links leave it as a spanning
 star for each group, never as all pairs; an anchor with too many at home is cut into tiles. Components are
 found by joins over distributed tables, with lineage cut at each round.
@@ -16,6 +21,7 @@ components; a component is named by its least doc_id that isn't null. Texts are
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,8 @@ SEED = 42
 #: Golay generator x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
 RADIUS = 3
+#: From so many distinct fingerprints on, comparing at single anchors costs more than copying to pairs of them.
+PAIRED_FROM = 40_000_000
 #: Fingerprints at home at one anchor that one tile compares.
 TILE = 8192
 MOST_ROUNDS = 60
@@ -89,23 +97,37 @@ def _patterns(radius: int) -> np.ndarray:
 
 
 class Covering:
-    """The anchors that each fingerprint goes to."""
+    """The anchors that each fingerprint goes to: code words of one block, or of two blocks together."""
 
-    def __init__(self, threshold: int = THRESHOLD, blocks: tuple[int, ...] = BLOCKS):
+    def __init__(self, threshold: int = THRESHOLD, blocks: tuple[int, ...] = BLOCKS, together: int = 1):
         self.blocks = blocks
-        self.patterns = _patterns(RADIUS + threshold // len(blocks))
+        self.over = together * threshold // len(blocks)
+        self.sets = list(itertools.combinations(range(len(blocks)), together))
+        self.patterns = _patterns(RADIUS + self.over)
+        weight = np.bitwise_count(np.maximum(self.patterns, 0).astype(np.uint64)).astype(np.int64)
+        self.excess = np.where(self.patterns < 0, 99, np.maximum(weight - RADIUS, 0))
 
     def anchors(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, anchor and whether it's the home anchor, over all blocks."""
-        rows, keys, homes, shift = [], [], [], 0
-        for b, width in enumerate(self.blocks):
+        """Row, anchor and whether it's the home anchor, over all blocks or pairs of blocks."""
+        words, excess, shift = [], [], 0
+        for width in self.blocks:
             x = ((fps >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
-            e = self.patterns[_syndromes(x)]
-            i, j = np.nonzero(e >= 0)
-            rows.append(i)
-            keys.append((b << 12) | ((x[i] ^ e[i, j]) >> 11))
-            homes.append(j == 0)  # the first pattern is the lightest
+            s = _syndromes(x)
+            words.append((x[:, None] ^ np.maximum(self.patterns[s], 0)) >> 11)
+            excess.append(self.excess[s])
             shift += width
+        rows, keys, homes = [], [], []
+        for k, own in enumerate(self.sets):
+            if len(own) == 1:
+                i, j = np.nonzero(excess[own[0]] <= self.over)
+                key, home = words[own[0]][i, j], j == 0  # the first pattern is the lightest
+            else:
+                a, b = own
+                i, j, l = np.nonzero(excess[a][:, :, None] + excess[b][:, None, :] <= self.over)
+                key, home = words[a][i, j] << 12 | words[b][i, l], (j == 0) & (l == 0)
+            rows.append(i)
+            keys.append(k << (12 * len(own)) | key)
+            homes.append(home)
         return np.concatenate(rows), np.concatenate(keys), np.concatenate(homes)
 
 
@@ -144,21 +166,25 @@ def link_anchor(fps: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.n
 def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a, b) of fingerprints whose graph has the components of all pairs within the threshold."""
     spark = distinct.sparkSession
+    together = 1 if distinct.count() < PAIRED_FROM else 2
+    step = 20_000 if together == 1 else 2_000
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cover = Covering(threshold)
+        cover = Covering(threshold, together=together)
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for k in range(0, len(fps), 20_000):
-                part = fps[k : k + 20_000]
+            for k in range(0, len(fps), step):
+                part = fps[k : k + step]
                 rows, keys, homes = cover.anchors(part)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(part[rows].view(np.int64)), pa.array(homes)], names=["anchor", "fp", "home"])
 
     small_batches(spark, 16_384)
     spreaded = distinct.select("fp").mapInArrow(spread, "anchor int, fp long, home boolean")
     crowd = spreaded.filter("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
-    tiles = crowd.select(F.col("anchor").alias("a2"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))  # at most 12,288 rows
-    placed = spreaded.join(F.broadcast(tiles), F.col("anchor") == F.col("a2"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    tiles = crowd.select(F.col("anchor").alias("a2"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    if together == 1:  # at most 12,288 rows
+        tiles = F.broadcast(tiles)
+    placed = spreaded.join(tiles, F.col("anchor") == F.col("a2"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     placed = placed.select("anchor", "fp", "home", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
     placed = placed.select("anchor", "tile", "fp", (F.col("home") & (F.col("own") == F.col("tile"))).alias("home"))

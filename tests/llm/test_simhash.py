@@ -14,13 +14,14 @@ def test_every_block_value_has_one_home_within_the_radius():
     assert (np.bincount(rows[homes & (keys < 4096)], minlength=len(x)) == 1).all()
 
 
-def test_pairs_within_the_threshold_meet_at_a_home_anchor():
+@pytest.mark.parametrize("together", [1, 2])
+def test_pairs_within_the_threshold_meet_at_a_home_anchor(together):
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2)
     b = a.copy()
     for _ in range(4):
         b ^= np.uint64(1) << rnd.integers(0, 64, len(a), dtype=np.uint64)
-    cover = simhash.Covering(4)
+    cover = simhash.Covering(4, together=together)
     ra, ka, ha = cover.anchors(a)
     rb, kb, _ = cover.anchors(b)
     home = {(r, k) for r, k, h in zip(ra, ka, ha) if h}
@@ -33,8 +34,10 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == fingerprint(text)
 
 
-def test_components_equal_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("paired_from", [0, 1 << 60])
+def test_components_equal_all_pairs(spark, monkeypatch, paired_from):
     monkeypatch.setattr(simhash, "TILE", 3)  # many tiles
+    monkeypatch.setattr(simhash, "PAIRED_FROM", paired_from)
     rnd = random.Random(2)
     base = [" ".join(rnd.choice("the of and to in is it on as by".split()) + str(rnd.randrange(40)) for _ in range(150)) for _ in range(12)]
     rows = [(100 - i, None if i == 5 else "" if i == 6 else base[i % 12]) for i in range(30)]
