@@ -28,13 +28,15 @@ class Queues:
     def __init__(self, kinds: int = ALPHABET, memory_items: int = MEMORY_ITEMS, folder: str | None = None):
         self.blocks: list[list] = [[] for _ in range(kinds)]
         self.held, self.most, self.folder, self.file, self.spilled = 0, memory_items, folder, None, 0
+        self.kind = np.dtype(np.int64)
 
     def put(self, c: int, block: np.ndarray) -> None:
         if self.held + len(block) > self.most:
             if self.file is None:
                 self.file = tempfile.TemporaryFile(dir=self.folder)
             at = self.file.seek(0, os.SEEK_END)
-            block.astype(np.int64).tofile(self.file)
+            self.kind = block.dtype
+            block.tofile(self.file)
             self.blocks[c].append((at, len(block)))
             self.spilled += len(block)
         else:
@@ -57,13 +59,13 @@ class Queues:
         for b in self.blocks[c]:
             if isinstance(b, tuple):
                 self.file.seek(b[0])
-                b = np.fromfile(self.file, dtype=np.int64, count=b[1])
+                b = np.fromfile(self.file, dtype=self.kind, count=b[1])
             out.append(b)
         return out
 
     def whole(self, c: int) -> np.ndarray:
         got = self.take(c)
-        return got[0] if len(got) == 1 else np.concatenate(got) if got else np.zeros(0, dtype=np.int64)
+        return got[0] if len(got) == 1 else np.concatenate(got) if got else np.zeros(0, dtype=self.kind)
 
     def close(self) -> None:
         if self.file is not None:
@@ -78,10 +80,15 @@ def types(t: np.ndarray) -> np.ndarray:
     rise[-1] = True
     differ = np.ones(n, dtype=bool)
     differ[:-1] = t[:-1] != t[1:]
-    at = np.where(differ, np.arange(n), n - 1)
+    at = np.where(differ, np.arange(n, dtype=kind(n)), kind(n)(n - 1))
     return rise[np.minimum.accumulate(at[::-1])[::-1]]
 
 
+def kind(n: int) -> type:
+    """The narrowest integers that hold positions below n."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int, folder: str | None) -> tuple[Queues, Queues]:
     """The queues of L suffixes (ascending) and of S suffixes (descending) from LMS suffixes in their order."""
     first = t[lms]
@@ -113,7 +120,7 @@ def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int,
         up.deal(p, ch)
     for c in range(ALPHABET - 1, -1, -1):
         if c == END:
-            down.put(c, np.array([len(t) - 1], dtype=np.int64))
+            down.put(c, np.array([len(t) - 1], dtype=lms.dtype))
         wave = down.take(c)
         while wave:
             again = []
@@ -136,7 +143,7 @@ def suffix_order(t: np.ndarray, depth: int, memory_items: int = MEMORY_ITEMS, fo
     """All suffixes of t (last symbol END, nowhere else) in the order of their first `depth` symbols."""
     n = len(t)
     small = types(t)
-    lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
+    lms = (np.nonzero(small[1:] & ~small[:-1])[0] + 1).astype(kind(n))
     if len(lms) > 1:
         up, down = induce(t, small, lms, memory_items, folder)
         is_lms = np.zeros(n, dtype=bool)
@@ -148,13 +155,15 @@ def suffix_order(t: np.ndarray, depth: int, memory_items: int = MEMORY_ITEMS, fo
         ordered = np.concatenate(parts)
         up.close()
         down.close()
-        rank = np.zeros(n, dtype=np.int64)
+        del up, down, parts, is_lms
+        rank = np.zeros(n, dtype=lms.dtype)
         rank[ordered] = names(t, lms, ordered)
         r = rank[lms]
+        del rank, ordered
         step = 1
         # Names reach two symbols or more, so `step` names reach 2 * step.
         while 2 * step < depth + 2:
-            nxt = np.zeros(len(r), dtype=np.int64)
+            nxt = np.zeros_like(r)
             nxt[:-step] = r[step:] + 1 if step < len(r) else 0
             order = np.lexsort((nxt, r))
             a, b = r[order], nxt[order]
@@ -175,7 +184,7 @@ def suffix_order(t: np.ndarray, depth: int, memory_items: int = MEMORY_ITEMS, fo
 def names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Equal names for equal LMS substrings, ascending along `ordered`; compared symbol by symbol."""
     n = len(t)
-    end = np.full(n, n - 1, dtype=np.int64)
+    end = np.full(n, n - 1, dtype=lms.dtype)
     end[lms[:-1]] = lms[1:]
     a, b = ordered[:-1], ordered[1:]
     length = end[ordered] - ordered + 1

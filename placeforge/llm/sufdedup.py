@@ -37,12 +37,12 @@ from placeforge.llm.induced import END, SEPARATOR, equal_next, suffix_order
 WIDTH = 100
 GRAM = 32
 #: Bytes hashed at a time; longer texts are cut into pieces that overlap by width - 1.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BITS = 21
 #: Runs that a task holds before it sends them on.
-HELD_RUNS = 500_000
+HELD_RUNS = 150_000
 #: Bytes of passages that one sort takes, unless one key alone has more.
-SORT_BYTES = 2 << 20
+SORT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
@@ -281,8 +281,8 @@ def cover(doc: np.ndarray, rid: np.ndarray, s: np.ndarray, n: np.ndarray, texts:
     t[at + lens] = SEPARATOR
     t[-1] = END
     order = suffix_order(t, width)
-    owner = np.repeat(np.arange(len(texts)), lens + 1)
-    inside = np.arange(len(t)) - at[owner]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lens + 1)
+    inside = np.arange(len(t), dtype=order.dtype) - at.astype(order.dtype)[owner]
     order = order[inside[order] < n[owner[order]]]
     same = equal_next(raw, order, width)
     begin = np.nonzero(np.concatenate([[True], ~same]))[0]
@@ -291,7 +291,7 @@ def cover(doc: np.ndarray, rid: np.ndarray, s: np.ndarray, n: np.ndarray, texts:
     moved = (doc[by][1:] != doc[by][:-1]) | (rid[by][1:] != rid[by][:-1])
     place[by] = np.concatenate([[0], np.cumsum(moved)])
     o = owner[order]
-    when = (place[o] << 36) | (s[o] + inside[order])
+    when = (place[o] << 36) | (s[o] + inside[order].astype(np.int64))
     first = np.minimum.reduceat(when, begin) if len(order) else when
     late = when != np.repeat(first, np.diff(np.concatenate([begin, [len(order)]])))
     hit = np.sort(order[late])
@@ -304,6 +304,10 @@ def cover(doc: np.ndarray, rid: np.ndarray, s: np.ndarray, n: np.ndarray, texts:
     return np.stack([doc[w], rid[w], s[w] + inside[hit[i]], end - hit[i] + width])
 
 
+def _ranges(doc, rid, s, length) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(rid), pa.array(s), pa.array(length.astype(np.int32))], names=["doc", "rid", "s", "len"])
+
+
 def _sort(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Sorts of about SORT_BYTES; a key is never split between two of them."""
     held: list[pa.RecordBatch] = []
@@ -311,17 +315,29 @@ def _sort(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
     def work(parts: list[pa.RecordBatch]):
         tab = pa.Table.from_batches(parts)
-        key = tab.column("key").to_numpy()
-        # A key alone can't match anything.
-        alone = np.concatenate([[True], key[1:] != key[:-1]]) & np.concatenate([key[1:] != key[:-1], [True]])
-        keep = np.nonzero(~alone)[0]
-        if len(keep) == 0:
-            return
-        tab = tab.take(pa.array(keep))
-        doc, rid, s, n = (tab.column(k).to_numpy() for k in ("doc", "rid", "s", "n"))
-        out = cover(doc, rid, s, n.astype(np.int64), tab.column("text").to_pylist(), width)
-        if out.shape[1]:
-            yield pa.RecordBatch.from_arrays([*map(pa.array, out[:3]), pa.array(out[3].astype(np.int32))], names=["doc", "rid", "s", "len"])
+        key, doc, rid, s, n = (tab.column(k).to_numpy() for k in ("key", "doc", "rid", "s", "n"))
+        n = n.astype(np.int64)
+        texts = tab.column("text").to_pylist()
+        # Equal passages under one key: the first one stays to be sorted.
+        first: dict[tuple[int, bytes], tuple] = {}
+        kept, again = [], []
+        for i, k in zip((order := np.lexsort((s, rid, doc))).tolist(), key[order].tolist(), strict=True):
+            place = (doc[i], rid[i], s[i])
+            if (lead := first.setdefault((k, texts[i]), place)) is place:
+                kept.append(i)
+            elif lead != place:  # not the same passage of rows that are alike
+                again.append(i)
+        if again:
+            i = np.array(again)
+            yield _ranges(doc[i], rid[i], s[i], n[i] + width - 1)
+        # A key alone can't match anything more.
+        i = np.sort(np.array(kept))
+        k = key[i]
+        i = i[~(np.concatenate([[True], k[1:] != k[:-1]]) & np.concatenate([k[1:] != k[:-1], [True]]))]
+        if len(i):
+            out = cover(doc[i], rid[i], s[i], n[i], [texts[x] for x in i.tolist()], width)
+            if out.shape[1]:
+                yield _ranges(*out)
 
     for b in batches:
         if b.num_rows == 0:
@@ -358,12 +374,15 @@ def remove(text: str | None, ranges: list) -> tuple[bytes, int, int]:
 
 def substring_dedup(df: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of df (doc_id, text)."""
-    rows = df.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("rid"), "text")
+    ids = df.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc")).agg(F.count(F.lit(1)).alias("n"))
+    unique = ids.filter("n > 1").isEmpty()
+    # Where doc_id names a row, its text needn't.
+    rid = F.lit(0).cast("long") if unique else F.xxhash64("text")
+    rows = df.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), rid.alias("rid"), "text")
     ranges = find_covered(rows, width).groupBy(F.col("doc").alias("d2"), F.col("rid").alias("r2"))
     ranges = ranges.agg(F.collect_list(F.struct("s", "len")).alias("ranges")).hint("shuffle_hash")
     on = (F.col("doc") == F.col("d2")) & (F.col("rid") == F.col("r2"))
-    copies = durable(rows.groupBy("doc", "rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "copies")
-    if copies.isEmpty():
+    if unique or rows.groupBy("doc", "rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         whole = rows.join(ranges, on, "left").select("doc", "text", "ranges", F.lit(1).alias("n"))
     else:  # rows alike become one row with their number
         one = rows.groupBy("doc", "rid").agg(F.first("text").alias("text"), F.count(F.lit(1)).cast("int").alias("n"))

@@ -87,3 +87,22 @@ def test_repeated_and_empty_tables(spark):
     got = sufdedup.substring_dedup(documents(spark, [(7, t), (7, t)])).collect()
     assert sorted(r.n_removed for r in got) == [0, len(t)]
     assert sufdedup.substring_dedup(documents(spark, [])).count() == 0
+
+
+def test_rows_alike_among_near_copies(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 8)))
+    base = [word() for _ in range(120)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        w[rnd.randrange(len(w))] = "other"
+        rows.append((i, " ".join(w)))
+    want = substring_dedup(rows)
+    got = sufdedup.substring_dedup(documents(spark, [*rows, rows[0], rows[9], rows[9]]).repartition(3)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+    for i, rs in by.items():
+        assert want[i] in rs and len(rs) == {0: 2, 9: 3}.get(i, 1)
+        assert all(r == want[i] or r[1] == r[0] for r in rs)
