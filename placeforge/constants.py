@@ -72,6 +72,10 @@ KEEP_IF = ("located_in", "coord", "subclass_of", "iso_3166_2", "iso_3166_1", "wm
 PRESENCE_FIELDS = ("dissolved", "end_time")
 SOURCE = "wikidata"
 
+# What a manifest says of its data.
+LICENSE = "CC0-1.0"
+MANIFEST_SOURCE = "https://www.wikidata.org/ (Wikidata truthy dump, CC0)"
+
 # Addresses in the dump.
 ENTITY_IRI = "http://www.wikidata.org/entity/"
 DIRECT_IRI = "http://www.wikidata.org/prop/direct/"

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge import constants as K
 from placeforge.functions.columns import parse_point
 from placeforge.operators import assemble, classify, collisions, graph, placement, spatial, tiers
 from placeforge.tables import durable
@@ -168,10 +167,21 @@ def build(spark: SparkSession, scan: Scan, wanted: tuple[str, ...] | None = None
     return Build(assemble.country_rows(country, scan.entities), regions, settlements, plan, placed, counts)
 
 
-def stats(b: Build) -> dict:
+def stats(b: Build, elapsed: float | None = None) -> dict:
     """Totals and per-country counters; a few hundred rows reach the driver."""
-    per = b.counts.join(b.plan.select("iso2", "tier"), "iso2").orderBy("iso2").collect()
-    shipped = {r.country_code: r.n for r in b.settlements.groupBy("country_code").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = {r.iso2: {**{k: v for k, v in r.asDict().items() if k != "iso2"}, "settlements": shipped.get(r.iso2, 0)} for r in per}
-    totals = {k: sum(r[k] for r in rows.values()) for k in ("seen", "orphans", "unheld", "by_contains", "by_boundary", "settlements")}
-    return {"countries": rows, "totals": totals, "source": K.SOURCE}
+    per = b.counts.join(b.plan, "iso2").orderBy("iso2").collect()
+    own = F.col("admin1_id") == F.col("country_qid")
+    held = b.settlements.join(b.plan.select(F.col("iso2").alias("country_code"), "country_qid"), "country_code")
+    shipped = {r.country_code: r for r in held.groupBy("country_code").agg(F.count(F.lit(1)).alias("n"), F.count_if(own).alias("own")).collect()}
+    rows = []
+    for r in per:
+        got = shipped.get(r.iso2)
+        rows.append({
+            "code": r.iso2, "cities": got.n if got else 0, "country_region": got.own if got else 0, "tier": r.tier, "mode": r.mode,
+            "settlements_seen": r.seen, "orphans": r.orphans, "unheld": r.unheld,
+            "placed_by_contains": r.by_contains, "placed_by_boundary": r.by_boundary,
+        })
+    total = lambda k: sum(r[k] for r in rows)
+    out = {"countries": rows, "cities_total": total("cities"), "in_country_region": total("country_region"), "divisions_selected": b.regions.count()}
+    out |= {k: total(k) for k in ("placed_by_contains", "placed_by_boundary")}
+    return out if elapsed is None else out | {"elapsed_seconds": round(elapsed, 1)}

@@ -6,6 +6,7 @@ import datetime
 import json
 import os
 import shutil
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,5 +77,6 @@ def refresh(spark: SparkSession, scan: Scan, out: str, wanted: tuple[str, ...] |
         shutil.rmtree(f"{out}-prev", ignore_errors=True)
         shutil.move(out, f"{out}-prev")
     os.makedirs(out, exist_ok=True)
+    began = time.monotonic()
     b = build(spark, scan, wanted)
-    return write_build(spark, out, b.countries, b.regions, b.settlements, stats(b))
+    return write_build(spark, out, b.countries, b.regions, b.settlements, stats(b, time.monotonic() - began))

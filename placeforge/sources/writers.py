@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.constants import SOURCE
+from placeforge.constants import LICENSE, MANIFEST_SOURCE, SOURCE
 from placeforge.operators.assemble import COUNTRY_KEYS, REGION_KEYS, SETTLEMENT_KEYS
 
 CSV_COLUMNS = (
@@ -152,9 +152,10 @@ def write_build(spark: SparkSession, out: str, countries: DataFrame, regions: Da
 
     entries = [json.loads(r.entry) for r in dealt.mapInPandas(write, "entry string").collect()]
     manifest = make_manifest(entries)
-    write_text(os.path.join(out, "manifest.json"), json.dumps(manifest, indent=1, ensure_ascii=False) + "\n")
+    write_text(os.path.join(out, "manifest.json"), json.dumps(manifest, indent=2, sort_keys=True) + "\n")
     if stats is not None:
-        write_text(os.path.join(out, "build-stats.json"), json.dumps(stats, indent=1, ensure_ascii=False) + "\n")
+        stats = stats | {"s_version": manifest["s_version"], "countries_written": len(entries)}
+        write_text(os.path.join(out, "build-stats.json"), json.dumps(stats, indent=4, sort_keys=True))
     return manifest
 
 
@@ -172,7 +173,7 @@ def fingerprint(entries: list[dict]) -> str:
 def make_manifest(entries: list[dict]) -> dict:
     entries = sorted(entries, key=lambda e: e["code"])
     version = fingerprint(entries)
-    return {"s_version": version, "version": version, "license": "CC0-1.0", "source": SOURCE, "countries": entries}
+    return {"s_version": version, "version": version, "license": LICENSE, "source": MANIFEST_SOURCE, "countries": entries}
 
 
 def fingerprint_column(lines: DataFrame, order: str, line: str) -> DataFrame:

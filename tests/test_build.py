@@ -95,6 +95,8 @@ def test_files_are_exact_and_repeatable(spark, tmp_path):
     rows = f["csv/ZZ.csv"].decode().split("\r\n")
     assert rows[0] == ",".join(writers.CSV_COLUMNS) and len(rows) == 10 and rows[-1] == ""
     assert m["s_version"] == writers.fingerprint(m["countries"])
+    stats = json.loads((tmp_path / "0/build-stats.json").read_text())
+    assert (stats["cities_total"], stats["countries_written"], stats["s_version"]) == (8, 1, m["s_version"])
 
 
 def test_publish(spark, tmp_path):
