@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,8 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    own = os.path.join(tempfile.gettempdir(), "placeforge-tables")
-    os.makedirs(own, exist_ok=True)
+    own = tempfile.mkdtemp(prefix="placeforge-tables-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", f"file://{own}")
     return f"file://{own}"
 
