@@ -3,7 +3,8 @@
 Suffixes are induced in the order of their first character: when a bucket is taken, the suffix before each
 of its members goes to the queue of its own first character, in the order in which they were met. The queues
 together are a monotone priority queue; each holds blocks of positions in memory and sends them to a file in
-the given folder when all of them together pass the memory limit, so a shard may be far larger than memory.
+the given folder when all of them together pass the memory limit. The text, its types and the final order stay in
+memory, so the caller bounds the length of what it sorts.
 
 LMS substrings are sorted by one such induction and named, the names are ranked over `depth` characters, and
 a second induction orders all suffixes by their first `depth` characters (equal ones in any order).

@@ -8,7 +8,9 @@ starts of a text fall into runs with one anchor, and the bytes under a run are i
    equal passages the first stays and the starts of the others are covered.
 2. Different passages under one anchor meet in one place, by anchor and by the half of the string beside it,
    and all their suffixes are sorted by external induced sorting (module induced). Neighbours in that order
-   that share `width` bytes are one string; all but its first start are covered.
+   that share `width` bytes are one string; all but its first start are covered. A sort is in memory. Where the
+   passages of one key have more than `hot_bytes`, its strings are not sorted there: each goes by a hash of all its
+   `width` bytes, and equal ones meet as equal passages do in step 1.
 3. Covered starts go back to their documents, where the bytes are removed.
 
 Before anything is shuffled by anchor, each task keeps one run for each passage it has seen, so a passage that
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ _BITS = 21
 HELD_RUNS = 150_000
 #: Bytes of passages that one sort takes, unless one key alone has more.
 SORT_BYTES = 1 << 20
+#: Bytes of passages under one key from which its strings are dealt out one by one.
+HOT_BYTES = 4 << 20
 LAST = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
@@ -143,16 +148,18 @@ def _settle(h, c, doc, rid, s, n):
     return h, c, doc, rid, s, np.where(again, -(n & 255), n)
 
 
+def _settled(held: list[tuple]) -> pa.RecordBatch:
+    """What a task sends on of the runs it holds."""
+    h, c, doc, rid, s, n = _settle(*(np.concatenate([x[k] for x in held]) for k in range(6)))
+    # Covered rows need no anchor; their key is spread.
+    h = np.where(n < 0, ((doc ^ rid) * -7046029254386353131) ^ s, h)
+    return _table(h, np.where(n < 0, 0, c), doc, rid, s, n.astype(np.int32))
+
+
 def _find_runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     count = 0
 
-    def flush():
-        h, c, doc, rid, s, n = _settle(*(np.concatenate([x[k] for x in held]) for k in range(6)))
-        # Covered rows need no anchor; their key is spread.
-        h = np.where(n < 0, (rid * -7046029254386353131) ^ s, h)
-        return _table(h, np.where(n < 0, 0, c), doc, rid, s, n.astype(np.int32))
-
     for b in batches:
         for docs, pieces in _batches(*(x.to_pylist() for x in b.columns), width):
             owner, h, first, last, anchor, buf = runs(pieces, width)
@@ -165,10 +172,28 @@ def _find_runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
             held.append((h.view(np.int64), c.view(np.int64), d[:, 0], d[:, 1], d[:, 2] + first - start[owner], (last - first + 1) | (anchor - first) << 8))
             count += len(owner)
             if count >= HELD_RUNS:
-                yield flush()
+                yield _settled(held)
                 held, count = [], 0
     if held:
-        yield flush()
+        yield _settled(held)
+
+
+def _find_strings(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Each string of passages under hot keys as a run of one start, keyed by 128 bits of its hash."""
+    held: list[tuple] = []
+    count = 0
+    digest, low = xxhash.xxh3_128_intdigest, (1 << 64) - 1
+    for b in batches:
+        for d, r, s, n, text in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            found = [digest(text[k : k + width]) for k in range(n)]
+            h, c = (np.array(x, dtype=np.uint64).view(np.int64) for x in ([y >> 64 for y in found], [y & low for y in found]))
+            held.append((h, c, np.full(n, d, dtype=np.int64), np.full(n, r, dtype=np.int64), s + np.arange(n), np.ones(n, dtype=np.int64)))
+            count += n
+            if count >= HELD_RUNS:
+                yield _settled(held)
+                held, count = [], 0
+    if held:
+        yield _settled(held)
 
 
 def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +238,7 @@ def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = tuple(x[-1] for x in cols[:5])
 
 
-def find_covered(df: DataFrame, width: int = WIDTH) -> DataFrame:
+def find_covered(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc, rid, s, len of covered bytes for df (doc, rid, text); ranges may overlap."""
     spark = df.sparkSession
     small_batches(spark)
@@ -231,10 +256,19 @@ def find_covered(df: DataFrame, width: int = WIDTH) -> DataFrame:
     cut = df.join(open_runs, (F.col("doc") == F.col("d2")) & (F.col("rid") == F.col("r2")))
     cut = cut.select("rid", "doc", "text", "runs").mapInArrow(lambda it: _cut(it, width), "key long, doc long, rid long, s long, n int, text binary")
     small_batches(spark, 4096)
-    sorted_ = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _sort(it, width), "doc long, rid long, s long, len int")
-    rest = durable(sorted_, "covered")
+    sorted_ = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _sort(it, width, hot_bytes), "doc long, rid long, s long, len int, text binary")
+    done = durable(sorted_, "covered")
     free(spark)
-    return sure.union(rest)
+    covered = sure.union(done.filter("text is null").drop("text"))
+    hot = done.filter("text is not null")
+    if hot.isEmpty():
+        return covered
+    strings = hot.mapInArrow(lambda it: _find_strings(it, width), _RUN_SCHEMA)
+    dealt = strings.repartition(parts, "h").sortWithinPartitions("h", "c", "doc", "rid", "s")
+    again = durable(dealt.mapInArrow(_match_runs, _RUN_SCHEMA), "strings")
+    del dealt, strings
+    free(spark)
+    return covered.union(again.filter("n < 0").select("doc", "rid", "s", (-F.col("n") + (width - 1)).alias("len")))
 
 
 def free(spark) -> None:
@@ -305,13 +339,18 @@ def cover(doc: np.ndarray, rid: np.ndarray, s: np.ndarray, n: np.ndarray, texts:
 
 
 def _ranges(doc, rid, s, length) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(rid), pa.array(s), pa.array(length.astype(np.int32))], names=["doc", "rid", "s", "len"])
+    columns = [pa.array(doc), pa.array(rid), pa.array(s), pa.array(length.astype(np.int32)), pa.nulls(len(doc), pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc", "rid", "s", "len", "text"])
+
 
+def _sort(batches: Iterator[pa.RecordBatch], width: int, hot_bytes: int = HOT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Sorts of about SORT_BYTES; a key is never split between two of them.
 
-def _sort(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Sorts of about SORT_BYTES; a key is never split between two of them."""
+    Rows of a key with more than hot_bytes of passages pass through with their text, `len` being their starts.
+    """
     held: list[pa.RecordBatch] = []
-    size = 0
+    tail: list[pa.RecordBatch] = []  # rows of the last key, which may go on
+    size, own, last, hot = 0, 0, None, False
 
     def work(parts: list[pa.RecordBatch]):
         tab = pa.Table.from_batches(parts)
@@ -339,18 +378,39 @@ def _sort(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             if out.shape[1]:
                 yield _ranges(*out)
 
+    def passed(part: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([part.column(k) for k in ("doc", "rid", "s", "n", "text")], names=["doc", "rid", "s", "len", "text"])
+
     for b in batches:
         if b.num_rows == 0:
             continue
-        if size >= SORT_BYTES:
-            key = b.column(0).to_numpy()
-            other = np.nonzero(key != held[-1].column(0)[-1].as_py())[0]
-            if len(other):
-                held.append(b.slice(0, int(other[0])))
+        key = b.column("key").to_numpy()
+        cuts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1, [len(key)]])
+        sums = np.add.reduceat(pc.binary_length(b.column("text")).to_numpy().astype(np.int64) + 40, cuts[:-1])
+        # The first and the last key of a batch may go on in its neighbours.
+        alone = sums > hot_bytes
+        alone[[0, -1]] = True
+        at = 0
+        for k in np.nonzero(alone)[0].tolist():
+            if last is None or key[cuts[k]] != last:
+                held += tail
+                size += 0 if hot else own
+                tail, own, last, hot = [], 0, key[cuts[k]], False
+            if at < k:
+                held.append(b.slice(int(cuts[at]), int(cuts[k] - cuts[at])))
+                size += int(sums[at:k].sum())
+            if size >= SORT_BYTES:
                 yield from work(held)
-                b, held, size = b.slice(int(other[0])), [], 0
-        held.append(b)
-        size += b.nbytes
+                held, size = [], 0
+            part = b.slice(int(cuts[k]), int(cuts[k + 1] - cuts[k]))
+            own += int(sums[k])
+            hot |= own > hot_bytes
+            tail.append(part)
+            if hot:
+                yield from map(passed, tail)
+                tail = []
+            at = k + 1
+    held += tail
     if held:
         yield from work(held)
 
@@ -372,14 +432,14 @@ def remove(text: str | None, ranges: list) -> tuple[bytes, int, int]:
     return b"".join(out), gone, spans
 
 
-def substring_dedup(df: DataFrame, width: int = WIDTH) -> DataFrame:
+def substring_dedup(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of df (doc_id, text)."""
     ids = df.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc")).agg(F.count(F.lit(1)).alias("n"))
     unique = ids.filter("n > 1").isEmpty()
     # Where doc_id names a row, its text needn't.
     rid = F.lit(0).cast("long") if unique else F.xxhash64("text")
     rows = df.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), rid.alias("rid"), "text")
-    ranges = find_covered(rows, width).groupBy(F.col("doc").alias("d2"), F.col("rid").alias("r2"))
+    ranges = find_covered(rows, width, hot_bytes).groupBy(F.col("doc").alias("d2"), F.col("rid").alias("r2"))
     ranges = ranges.agg(F.collect_list(F.struct("s", "len")).alias("ranges")).hint("shuffle_hash")
     on = (F.col("doc") == F.col("d2")) & (F.col("rid") == F.col("r2"))
     if unique or rows.groupBy("doc", "rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, substring_dedup
 
@@ -106,3 +107,27 @@ def test_rows_alike_among_near_copies(spark):
     for i, rs in by.items():
         assert want[i] in rs and len(rs) == {0: 2, 9: 3}.get(i, 1)
         assert all(r == want[i] or r[1] == r[0] for r in rs)
+
+
+@pytest.mark.parametrize("hot_bytes", [0, 3000])
+def test_hot_keys_are_split_without_loss(spark, hot_bytes):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdeé") for _ in range(rnd.randrange(2, 8)))
+    passage = " ".join(word() for _ in range(25))
+    rows = mixed(12, 60) + [(i, f"{' '.join(word() for _ in range(20))} {passage} {' '.join(word() for _ in range(20))}") for i in range(60, 120)]
+    df = documents(spark, rows).repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sufdedup.substring_dedup(df, hot_bytes=hot_bytes).collect()}
+    assert got == substring_dedup(rows)
+
+
+def test_no_sort_takes_more_than_a_hot_key(monkeypatch):
+    taken = []
+    monkeypatch.setattr(sufdedup, "cover", lambda d, r, s, n, texts, w: taken.append(sum(map(len, texts))) or np.zeros((4, 0), dtype=np.int64))
+    rnd = random.Random(13)
+    rows = [(k, i, 0, 0, 10, bytes(rnd.randrange(256) for _ in range(109))) for k, n in ((1, 3), (2, 500), (3, 2), (4, 400), (5, 2)) for i in range(n)]
+    for step in (1, 7, 1000):
+        taken.clear()
+        names = ["key", "doc", "rid", "s", "n", "text"]
+        parts = [pa.RecordBatch.from_pydict({c: [r[k] for r in rows[i : i + step]] for k, c in enumerate(names)}) for i in range(0, len(rows), step)]
+        passed = sum(b.num_rows for b in sufdedup._sort(iter(parts), 100, 20_000))
+        assert passed == 900 and sum(taken) == 7 * 109
