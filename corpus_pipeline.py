@@ -33,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation of each document, and where the second best leaves it."""
+    """The n best segmentations of each document: the best ids, and where each other path leaves them."""
     return nbest.encode_documents(docs)
 
 

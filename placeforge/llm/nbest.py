@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import gc
 import heapq
+import itertools
 import re
+from collections.abc import Sequence
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -232,10 +234,13 @@ class Encoder:
         found, out = self.paths(text)
         return [(s, [i for k, x in enumerate(found) for i in change.get(k, x[1])]) for s, change in out]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of a sequence of ids."""
+    def bytes_of(self, ids: Sequence[int]) -> bytes:
         raw = self.voc.raw
-        return b"".join([raw[i] for i in ids]).decode("utf-8", "surrogatepass").replace(MARK, " ")[1:]
+        return b"".join([raw[i] for i in ids])
+
+    def decode(self, ids: Sequence[int]) -> str:
+        """The text of a sequence of ids."""
+        return self.bytes_of(ids).decode("utf-8", "surrogatepass").replace(MARK, " ")[1:]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -250,16 +255,20 @@ def encoder(model: str = MODEL, n: int = N_BEST) -> Encoder:
 
 SCHEMA = (
     "doc_id long, n_chars long, n_pieces long, n_byte_pieces long, n_paths int, best_score double, last_score double, "
-    "ids array<int>, second_at int, second_ids array<int>, exact boolean"
+    "ids array<int>, second_at int, second_ids array<int>, exact boolean, "
+    "paths array<struct<score: double, changes: array<struct<at: int, n: int, ids: array<int>>>, exact: boolean>>"
 )
 
 
 def encode_documents(df: DataFrame, model: str = MODEL, n: int = N_BEST, ids: bool = True) -> DataFrame:
-    """The best ids of each row of df (doc_id, text), how the second best differs, and the round trip.
+    """The best ids of each row of df (doc_id, text), how each of the n best differs, and the round trip.
+
+    `paths` has all n best in order. Each has, for every word it cuts otherwise than the best, the piece index of
+    that word in the best ids, the number of pieces it has there, and the ids that stand in their place.
 
     The second path has other ids for one word: `second_at` is the piece index where that word starts,
-    `second_ids` what it has there. `exact` says that the decoded ids are the text. With ids=False both id lists stay
-    null. A mark character in the text itself can't be told from an escaped space, so `exact` is false there.
+    `second_ids` what it has there. `exact` says that the decoded ids are the text, of the best and in `paths` of each.
+    With ids=False all id lists stay null. A mark character in the text itself can't be told from an escaped space, so `exact` is false there.
     """
 
     def make():
@@ -273,13 +282,20 @@ def encode_documents(df: DataFrame, model: str = MODEL, n: int = N_BEST, ids: bo
                 t = t or ""
                 found, paths = enc.paths(t)
                 best = [i for x in found for i in x[1]]
+                exact = enc.decode(best) == t
                 at, other = None, None
+                starts = [0, *itertools.accumulate([len(x[1]) for x in found])]
+                every = []
+                for score, change in paths:
+                    # Other pieces of a word with the same bytes decode to the same text.
+                    same = exact and all(enc.bytes_of(i) == enc.bytes_of(found[k][1]) for k, i in change.items())
+                    every.append((score, [(starts[k], len(found[k][1]), list(i) if ids else None) for k, i in sorted(change.items())], same))
                 if len(paths) > 1:  # the second path changes one word
                     ((k, other),) = paths[1][1].items()
-                    at = sum(len(x[1]) for x in found[:k])
+                    at = starts[k]
                     other = list(other)
                 n_bytes = sum([x[3] for x in found])
-                rows.append((d, len(t), len(best), n_bytes, len(paths), paths[0][0], paths[-1][0], best if ids else None, at, other if ids else None, enc.decode(best) == t))
+                rows.append((d, len(t), len(best), n_bytes, len(paths), paths[0][0], paths[-1][0], best if ids else None, at, other if ids else None, exact, every))
             gc.freeze()
             gc.enable()
             return list(map(list, zip(*rows, strict=True)))

@@ -63,3 +63,18 @@ def test_query_rows(spark):
     second = paths[1][1]
     assert second[got[1].second_at : got[1].second_at + len(got[1].second_ids)] == got[1].second_ids
     assert nbest.encode_documents(documents(spark, [])).count() == 0
+
+
+def test_rows_hold_all_n_paths(spark):
+    texts = ["the of and", "thsh é\n\nwh tiontion", "", None, "a", "x▁y", "word " * 40]
+    enc = nbest.Encoder(VOC)
+    for r in nbest.encode_documents(documents(spark, list(enumerate(texts)))).collect():
+        want = enc.encode(texts[r.doc_id])
+        got = []
+        for p in r.paths:
+            ids = list(r.ids)
+            for c in reversed(p.changes):
+                ids[c.at : c.at + c.n] = c.ids
+            got.append((p.score, ids))
+            assert p.exact == (enc.decode(ids) == (texts[r.doc_id] or ""))
+        assert got == want and len(got) == r.n_paths and got[-1][0] == r.last_score
