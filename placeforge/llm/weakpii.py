@@ -139,7 +139,7 @@ def votes(text: str, kind: int, s: int, e: int) -> list[int]:
         shape = YES if luhn(d) else NO
         gaz = YES if ISSUERS.match(d) and len(d) in (13, 14, 15, 16, 19) else NO
     else:
-        shape = YES if _STRICT_PHONE.fullmatch(span) else ABSTAIN if span[0] == "+" else NO
+        shape = YES if _STRICT_PHONE.fullmatch(span) or _LOCAL_PHONE.fullmatch(span) else ABSTAIN if span[0] == "+" else NO
         gaz = YES if span[0] == "+" and len(d) >= 10 else ABSTAIN
     before = text[max(0, s - REACH) : s]
     context = YES if CONTEXT[kind].search(before) else NO if AGAINST.search(before) else ABSTAIN

@@ -83,3 +83,11 @@ def test_em_finds_reliable_labelers():
     assert max(counts, key=counts.get) in good and all(w.decode(c)[1][0] == w.YES for c in good)
     assert w.decode((3 * 81 + 80) * 8 + 7) == (3, [2, 2, 2, 2], 3, 1)
     assert w.accepted({}) == set()
+
+
+def test_local_numbers_are_found_and_redacted(spark):
+    rows = corpus() + [(k, f"please call 555-123-45{k % 90 + 10} today") for k in range(200, 230)]
+    df = documents(spark, rows)
+    got = {r.doc_id: r.spans for r in w.find_pii(df).collect()}
+    assert got[200] == "phone:12:24"
+    assert {r.doc_id: r.text for r in w.redact(df).collect()}[200] == "please call [PHONE] today"
