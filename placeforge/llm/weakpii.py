@@ -215,7 +215,8 @@ def train(counts: dict[int, int], posterior: dict[int, float], ridge: float = 1.
         return w
     codes = sorted(counts)
     x = np.stack([features(c) for c in codes])
-    n = np.minimum(np.array([counts[c] for c in codes], dtype=float), 1e6)
+    n = np.array([counts[c] for c in codes], dtype=float)
+    n *= min(1.0, 1e6 / n.max())  # one factor for all, so that proportions stay and the steps can be solved
     y = np.array([posterior[c] for c in codes])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -91,3 +91,11 @@ def test_local_numbers_are_found_and_redacted(spark):
     got = {r.doc_id: r.spans for r in w.find_pii(df).collect()}
     assert got[200] == "phone:12:24"
     assert {r.doc_id: r.text for r in w.redact(df).collect()}[200] == "please call [PHONE] today"
+
+
+def test_large_counts_keep_their_proportions():
+    codes = [(2 * 81 + n) * 8 for n in (80, 0, 54)]
+    counts = dict(zip(codes, (1_000_000, 400_000, 30_000), strict=True))
+    posterior = dict(zip(codes, (0.99, 0.02, 0.6), strict=True))
+    more = {c: n * 1000 for c, n in counts.items()}
+    assert abs(w.train(counts, posterior) - w.train(more, posterior)).max() < 1e-6
