@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, or a temporary one where that is unset (one machine only)."""
+    """The folder named in spark.checkpoint.dir, which every executor and the driver share.
+
+    Where that is unset a temporary folder takes its place, on a local master only: on a cluster each executor
+    would write to its own disk.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="placeforge-tables-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", f"file://{own}")
@@ -26,4 +32,16 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete durable tables that nothing will read again: all that was made of them has been written."""
+    for df in tables:
+        path = getattr(df, "_durable_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
