@@ -4,8 +4,8 @@ Each text becomes a short vector of transformed statistics. Each class gets a me
 is shrunk towards the pooled one and its diagonal. The score is the posterior of label 1 from the two
 Mahalanobis log-densities, by triangular Cholesky factors that are computed once and sent to the workers.
 
-Fitting takes at most FIT_ROWS labelled rows, chosen by a hash of doc_id, so its cost and what reaches the
-driver are bounded; scoring covers all rows and moves none.
+Fitting takes at most FIT_ROWS labelled rows, one for each id, chosen by a hash of doc_id, so its cost and what
+reaches the driver are bounded however often an id stands in either table; scoring covers all rows and moves none.
 
 Defined results: null and empty texts are vectors of zeros' transforms and get a score. Without labels of
 both classes the score is the share of label 1 (0.5 without labels). Labels that are null are left out.
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import map_columns
+from placeforge.llm.common import in_fold, labelled, map_columns
 
 #: The bound of the fitting sample.
 FIT_ROWS = 20_000
@@ -105,33 +105,13 @@ def fit(x: np.ndarray, y: np.ndarray, pooled: float = POOLED, diagonal: float =
     return Discriminant(means, factors, constants, ones / len(x))
 
 
-def in_fold(doc_id: str = "doc_id"):
-    """True for held-out rows: crc32 of the id as text, modulo 5, is 0."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 def labelled_vectors(df: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors and labels of at most about `most` learnable rows; the ids sent out are as bounded."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
-    known = known.filter(F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & ~in_fold("__id"))
-    n = known.count()
-    if n > most:
-        known = known.filter(F.pmod(F.xxhash64("__id", F.lit(10)), F.lit(1 << 20)) < F.lit(int((1 << 20) * most / n)))
-    rows = df.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
-
-    def make():
-        def run(texts, ys):
-            return [vector(t) for t in texts], ys
-
-        return run
-
-    got = map_columns(rows, ("text", "__y"), "x array<double>, y int", make).toArrow()
+    """Vectors and labels of at most about `most` learnable rows, in an order that doesn't depend on tasks."""
+    got = labelled(df, labels, ("text",), "x array<double>", lambda: lambda texts: ([vector(t) for t in texts],), most)
     if got.num_rows == 0:
         return np.zeros((0, len(FEATURES))), np.zeros(0)
     x = np.array(got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, len(FEATURES))
-    y = got.column("y").to_numpy()
-    order = np.lexsort([*x.T, y])  # the same sums in the same order, however tasks finish
-    return x[order], y[order]
+    return x, got.column("y").to_numpy()
 
 
 def quality(df: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = FIT_ROWS, extra: tuple[str, ...] = ()) -> DataFrame:

@@ -13,7 +13,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.fertility(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return fertility.fertility(docs, fertility.calibrate(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_url_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import durable, map_columns, small_batches
+from placeforge.llm.common import durable, map_columns, bounded_batches
 
 BITS = 64
 BLOCKS = (23, 23, 18)
@@ -178,7 +178,7 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 rows, keys, homes = cover.anchors(part)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(part[rows].view(np.int64)), pa.array(homes)], names=["anchor", "fp", "home"])
 
-    small_batches(spark, 16_384)
+    bounded_batches(spark)
     spreaded = distinct.select("fp").mapInArrow(spread, "anchor int, fp long, home boolean")
     crowd = spreaded.filter("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
     tiles = crowd.select(F.col("anchor").alias("a2"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import durable, small_batches
+from placeforge.llm.common import durable, bounded_batches
 from placeforge.llm.induced import END, SEPARATOR, equal_next, suffix_order
 
 WIDTH = 100
@@ -241,21 +241,21 @@ def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_covered(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc, rid, s, len of covered bytes for df (doc, rid, text); ranges may overlap."""
     spark = df.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = df.select("doc", "rid", "text").mapInArrow(lambda it: _find_runs(it, width), _RUN_SCHEMA)
     dealt = found.repartition(parts, "h").sortWithinPartitions("h", "c", "doc", "rid", "s")
-    small_batches(spark, 65_536)
+    bounded_batches(spark)
     matched = durable(dealt.mapInArrow(_match_runs, _RUN_SCHEMA), "runs")
     del dealt, found
     free(spark)
     sure = matched.filter("n < 0").select("doc", "rid", "s", (-F.col("n") + (width - 1)).alias("len"))
-    small_batches(spark)
+    bounded_batches(spark)
     open_runs = matched.filter("n > 0").groupBy(F.col("doc").alias("d2"), F.col("rid").alias("r2"))
     open_runs = open_runs.agg(F.collect_list(F.struct("h", "s", "n")).alias("runs")).hint("shuffle_hash")
     cut = df.join(open_runs, (F.col("doc") == F.col("d2")) & (F.col("rid") == F.col("r2")))
     cut = cut.select("rid", "doc", "text", "runs").mapInArrow(lambda it: _cut(it, width), "key long, doc long, rid long, s long, n int, text binary")
-    small_batches(spark, 4096)
+    bounded_batches(spark)
     sorted_ = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _sort(it, width, hot_bytes), "doc long, rid long, s long, len int, text binary")
     done = durable(sorted_, "covered")
     free(spark)
@@ -447,7 +447,7 @@ def substring_dedup(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTE
     else:  # rows alike become one row with their number
         one = rows.groupBy("doc", "rid").agg(F.first("text").alias("text"), F.count(F.lit(1)).cast("int").alias("n"))
         whole = one.join(ranges, on, "left").select("doc", "text", "ranges", "n")
-    small_batches(df.sparkSession)
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]

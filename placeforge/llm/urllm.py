@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import durable, map_columns, small_batches
+from placeforge.llm.common import durable, map_columns, bounded_batches
 
 #: (host, path start, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -121,7 +121,7 @@ def held_out(url: str) -> bool:
 
 def gather(df: DataFrame, rules=RULES) -> list[np.ndarray] | None:
     """The cell counts of both classes over every labelled row outside the calibration fold."""
-    small_batches(df.sparkSession, 4096)
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, STARTS[-1]), dtype=np.int64)
