@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import durable, map_columns
+from placeforge.llm.common import BATCH_ROWS, bounded_batches, durable, map_columns
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -39,7 +41,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-# Further candidates.
+# Further candidates. An address has at most 64 characters before the sign and 63 in a label by the mail standard.
 _HIDDEN_EMAIL = re.compile(r"(?<![\w.])[\w.+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\})\s?[\w-]{1,63}(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]{2,63}){1,4}")
 _IP6 = re.compile(r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])")
 _RUN = re.compile(r"(?<![0-9])[0-9]{12,19}(?![0-9])")
@@ -87,11 +89,17 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def octet(digits: str) -> bool:
+    """Whether a run of digits of any length, leading zeros included, is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the base patterns, in order of start and kind."""
     out = [(EMAIL, s, e) for s, e in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
-        out += [(IP, m.start(), m.end()) for m in _IP.finditer(text) if all(len(g.lstrip("0")) < 4 and int(g) <= 255 for g in m.groups())]
+        out += [(IP, m.start(), m.end()) for m in _IP.finditer(text) if all(map(octet, m.groups()))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 d = digits_of(m[0])
@@ -230,10 +238,10 @@ def train(counts: dict[int, int], posterior: dict[int, float], ridge: float = 1.
 
 
 def accepted(counts: dict[int, int], sure: float = SURE) -> set[int]:
-    """Codes whose further candidates become spans: the classifier is sure, and the shape isn't denied."""
+    """Codes whose further candidates become spans: those that the classifier is sure of."""
     posterior, _ = reliabilities(counts)
     w = train(counts, posterior)
-    return {c for c in counts if 1 / (1 + np.exp(-np.clip(features(c) @ w, -30, 30))) >= sure and decode(c)[1][0] != NO and decode(c)[1][3] == YES}
+    return {c for c in counts if 1 / (1 + np.exp(-np.clip(features(c) @ w, -30, 30))) >= sure}
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -307,16 +315,24 @@ def redact_text(text: str | None, good: frozenset[int]) -> str | None:
 
 
 def redact(df: DataFrame, sure: float = SURE) -> DataFrame:
-    """df with personal data in `text` replaced and n_chars counted anew; all rows stay."""
-    counts = pattern_counts(candidates(df))
-    good = frozenset(accepted(counts, sure))
-    names = ("doc_id", "text", "lang", "source", "n_chars")
-
-    def make():
-        def run(ids, texts, langs, sources, sizes):
-            new = [redact_text(t, good) for t in texts]
-            return ids, new, langs, sources, [None if t is None else len(t) for t in new]
-
-        return run
-
-    return map_columns(df, names, "doc_id long, text string, lang string, source string, n_chars long", make)
+    """df with personal data in `text` replaced and n_chars, where df has it, counted anew; all rows and columns stay.
+
+    The corpus is read twice, once for the vote patterns and once to write; no text is moved between tasks.
+    """
+    good = frozenset(accepted(pattern_counts(candidates(df)), sure))
+    names = df.columns
+    at, sizes = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, BATCH_ROWS):
+                b = whole.slice(k, BATCH_ROWS)
+                columns = list(b.columns)
+                new = [redact_text(t, good) for t in columns[at].to_pylist()]
+                columns[at] = pa.array(new, columns[at].type)
+                if sizes is not None:
+                    columns[sizes] = pa.array([None if t is None else len(t) for t in new], columns[sizes].type)
+                yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(run, df.schema)

@@ -99,3 +99,62 @@ def test_large_counts_keep_their_proportions():
     posterior = dict(zip(codes, (0.99, 0.02, 0.6), strict=True))
     more = {c: n * 1000 for c, n in counts.items()}
     assert abs(w.train(counts, posterior) - w.train(more, posterior)).max() < 1e-6
+
+
+def slow_added(texts):
+    """Added spans by EM over single spans (not patterns) and plain gradient ascent of the classifier."""
+    import math
+
+    spans = []
+    for i, t in texts:
+        t = t or ""
+        b = w.base_spans(t)
+        spans += [(i, x, True, w.votes(t, *x), w.code(t, *x)) for x in b] + [(i, x, False, w.votes(t, *x), w.code(t, *x)) for x in w.further(t, b)]
+    q = [(1 + 2 * v.count(w.YES)) / (2 + 2 * v.count(w.YES) + 2 * v.count(w.NO)) for _, _, _, v, _ in spans]
+    for _ in range(50):
+        prior, table = {}, {}
+        for k in range(4):
+            own = [n for n, s in enumerate(spans) if s[1][0] == k]
+            prior[k] = (sum(q[n] for n in own) + 1) / (len(own) + 2)
+            for j in range(4):
+                for c in (0, 1):
+                    mass = [sum((q[n] if c else 1 - q[n]) for n in own if spans[n][3][j] == v) + (2.0 if v == (w.YES if c else w.NO) else 0.5) for v in range(3)]
+                    table[k, j, c] = [m / sum(mass) for m in mass]
+        odds = [sum(math.log(table[s[1][0], j, 1][v] / table[s[1][0], j, 0][v]) for j, v in enumerate(s[3])) + math.log(prior[s[1][0]] / (1 - prior[s[1][0]])) for s in spans]
+        q = [1 / (1 + math.exp(-max(-30, min(30, o)))) for o in odds]
+    x = [w.features(s[4]) for s in spans]
+    weights = x[0] * 0
+    for _ in range(6000):
+        grad = -weights
+        for xi, y in zip(x, q):
+            grad = grad + xi * (y - 1 / (1 + math.exp(-float(xi @ weights))))
+        weights = weights + 0.02 * grad
+    return {(i, s) for (i, s, is_base, _, _), xi in zip(spans, x) if not is_base and 1 / (1 + math.exp(-float(xi @ weights))) >= w.SURE}
+
+
+def test_added_spans_equal_a_slow_version(spark):
+    rows = [r for k, r in enumerate(corpus()) if k < 12 or r[0] in (103, 104)] + [
+        (200, "call 555-123-4567 now"), (201, "order 555-123-4567 x"), (202, "card 4111111111111112 y"), (203, "write to joe(at)mail.com"),
+        (204, "ip 1:2:3:4:5:6:7:8 z"), (205, "a4539578763621486"), (206, "phone +1 (269) 555-3296 4539578763621486 next"),
+    ]
+    want = slow_added(rows)
+    got = set()
+    for r in w.find_pii(documents(spark, rows)).collect():
+        own = {(w.KINDS.index(k), int(s), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)}
+        got |= {(r.doc_id, x) for x in own - set(w.base_spans(dict(rows)[r.doc_id] or ""))}
+    assert got == want and want
+
+
+def test_very_long_texts(spark):
+    texts = ["0" * 5000 + ".1.1.1", "0" * 2_000_000, " " * 2_000_000, "a" * 2_000_000, "\0" * 500_000, "1.1.1." + "0" * 6000 + "7"]
+    got = {r.doc_id: r for r in w.find_pii(documents(spark, list(enumerate(texts)))).collect()}
+    assert [got[k].n_ip for k in range(6)] == [1, 0, 0, 0, 0, 1]
+    again = {r.doc_id: r for r in w.redact(documents(spark, list(enumerate(texts)))).collect()}
+    assert again[0].text == "[IP]" and again[3].text == texts[3]
+
+
+def test_redaction_keeps_any_columns(spark):
+    df = documents(spark, corpus(), extra=("spans", "base")).drop("n_chars", "lang")
+    got = w.redact(df)
+    assert got.columns == df.columns and got.count() == df.count()
+    assert {r.doc_id: r.text for r in got.collect()}[100] == "phone [PHONE] [CARD] next"
