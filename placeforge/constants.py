@@ -33,7 +33,7 @@ REGION_EXCLUDE_QIDS = (209706,)
 # Graph limits and depth offsets of seeds.
 MAX_ROUNDS = 40
 ANCESTOR_HOPS = 12
-LEAF_OFFSET, COARSE_OFFSET, COUNTRY_OFFSET = 0, 1, 3
+LEAF_OFFSET, COUNTRY_OFFSET = 0, 3
 
 # Distances, boundary votes, name rules.
 MERGE_KM = 2.0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import pandas as pd
@@ -12,17 +13,14 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from placeforge.constants import MAX_NAME, MIN_LETTERS_KEPT
 from placeforge.functions.text import fold, romanise, slug
 
-#: Words of administrative units that mark an address.
-ADDRESS_WORDS = (
-    "district", "oblast", "krai", "okrug", "raion", "rayon", "selsoviet", "sel.soviet", "rural settlement",
-    "urban settlement", "municipality", "county", "province", "region", "prefecture", "voivodeship",
-    "governorate", "department", "commune", "canton", "state", "emirate", "subdistrict", "sub-district", "taluk",
-    "tehsil", "mandal", "upazila",
-)
-#: Kinds of place that stand before a romanised Russian name.
-KIND_WORDS = ("gorod", "selo", "derevnya", "posyolok", "poselok", "rabochiy poselok", "pgt", "stanitsa", "khutor", "aul", "slobod[ak]")
-_ADDRESS = re.compile(r"\b(?:" + "|".join(ADDRESS_WORDS) + r")\b", re.I)
-_KIND = re.compile("^(?:" + "|".join(KIND_WORDS) + r")\s+", re.I)
+#: Fixed value: the words of administrative units that mark an address.
+_ADDRESS = re.compile(
+    r"\b(district|oblast|krai|okrug|raion|rayon|selsoviet|sel.soviet|rural settlement|urban settlement|municipality|county|province|region|"
+    r"prefecture|voivodeship|governorate|department|commune|canton|state|emirate|subdistrict|sub-district|taluk|tehsil|mandal|upazila)\b",
+    re.I,
+)
+#: Fixed value: the kinds of place that stand before a romanised Russian name.
+_KIND = re.compile(r"^(gorod|selo|derevnya|posyolok|poselok|rabochiy poselok|pgt|stanitsa|khutor|aul|slobod[ak])\s+", re.I)
 _QUOTED = re.compile(r"^.*?<<\s*(.+?)\s*>>\s*$")
 _GLOSS = re.compile(r"\s*\([^()]*\)\s*")
 
@@ -36,28 +34,25 @@ def usable(text: str | None) -> bool:
 
 
 def strip_qualifier(text: str) -> tuple[str, str | None]:
-    """(head, qualifier) of a label that ends in a balanced bracket, round ones first; else (text, None)."""
-    for open_, close in ("()", "[]"):
-        if not text.endswith(close):
-            continue
-        depth, at = 0, len(text)
-        while at > 0:
-            at -= 1
-            depth += (text[at] == close) - (text[at] == open_)
-            if depth == 0:
-                break
-        head, inner = text[:at].strip(), text[at + 1 : -1].strip()
-        if depth == 0 and head and inner and usable(head):
+    """(head, qualifier) of a label that ends in a balanced round or square bracket; else (text, None)."""
+    close = text[-1:]
+    open_ = {")": "(", "]": "["}.get(close)
+    if open_:
+        depths = itertools.accumulate((c == close) - (c == open_) for c in reversed(text))
+        size = next((k for k, depth in enumerate(depths, 1) if depth == 0), 0)
+        head, inner = text[: len(text) - size].strip(), text[len(text) - size + 1 : -1].strip()
+        if size and head and inner and usable(head):
             return head, inner
     return text, None
 
 
 def strip_description(text: str) -> str:
     """The name in '… << name >>' without glosses and kind words."""
-    if not (m := _QUOTED.match(text)):
-        return text
-    inner = _KIND.sub("", _GLOSS.sub(" ", m[1].strip()).strip()).strip()
-    return inner if inner and usable(inner) else text
+    quoted = _QUOTED.match(text)
+    inner = quoted[1] if quoted else ""
+    for what, instead in ((_GLOSS, " "), (_KIND, "")):
+        inner = what.sub(instead, inner.strip()).strip()
+    return inner if usable(inner) else text
 
 
 def strip_address(text: str) -> str:
@@ -70,30 +65,28 @@ def strip_address(text: str) -> str:
 def resolve_name(labels: dict[str, str] | None, native: str | None) -> tuple[str | None, str | None, str | None]:
     """(name, language, original where it was romanised) of an entity's labels.
 
-    Languages go en, mul, the country's own, then all others in order. Two rounds, first without brackets:
-    a usable label of the preferred ones, a romanised local one, a usable label of any.
+    Every label that can be a name, as it stands or spelled in Latin letters, gets a rank, and the least one wins: no
+    bracket before a bracket; then English, `mul` and the country's language, then a spelling of the latter two, then any
+    other language; then the order en, mul, the country's language, all others by code.
     """
     labels = labels or {}
-    order = [x for x in dict.fromkeys(["en", "mul", *([native] if native else []), *sorted(labels)]) if labels.get(x)]
-    base = native.split("-")[0] if native else None
-    local = [x for x in order if x == "mul" or (base and x.split("-")[0] == base)]
-    preferred = [x for x in order if x == "en" or x in local]
-
-    def plain(langs: list[str], clean: bool):
-        return next(((labels[x], x, None) for x in langs if usable(labels[x]) and not (clean and "(" in labels[x])), None)
-
-    def spelled(langs: list[str], clean: bool):
-        for x in langs:
-            out = romanise(labels[x], x)
-            if usable(out) and not (clean and "(" in out):
-                return out, x, labels[x]
-        return None
-
-    for clean in (True, False):
-        found = plain(preferred, clean) or spelled(local, clean) or plain(order, clean)
-        if found:
-            return strip_address(strip_description(found[0])), found[1], found[2]
-    return None, None, None
+    home = native.split("-")[0] if native else None
+    front = ["en", "mul", native]
+
+    def place(lang: str) -> tuple[int, str]:
+        return (front.index(lang), "") if lang in front else (len(front), lang)
+
+    def ranked():
+        for lang, label in labels.items():
+            local = lang == "mul" or lang.split("-")[0] == home
+            if usable(label):
+                yield ("(" in label, 0 if local or lang == "en" else 2, place(lang)), label, lang, None
+            spelling = romanise(label, lang) if local else None
+            if usable(spelling):
+                yield ("(" in spelling, 1, place(lang)), spelling, lang, label
+
+    best = min(ranked(), key=lambda x: x[0], default=None)
+    return (strip_address(strip_description(best[1])), *best[2:]) if best else (None, None, None)
 
 
 def alt_names(aliases: dict[str, list[str]] | None, native: str | None, romanised: tuple[str, str] | None = None) -> dict[str, list[str]]:

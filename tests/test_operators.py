@@ -79,41 +79,66 @@ def place_row(qid, name, lat, lng, parent=None, label=None, **extra):
     return {**r, **extra}
 
 
-def names(rows, region=1):
-    return [r["name"] for r in collisions.resolve(rows, region)]
-
-
-def test_collisions_merge():
-    r = collisions.resolve([place_row(747074, "Aalen", 48.837222, 10.093611), place_row(31868047, "Aalen", 48.837840, 10.092990)], 1)
-    assert [x["id"] for x in r] == [747074]
-    r = collisions.resolve([place_row(100, "Abla", 37.142222, -2.777222, geonames_id=2521886), place_row(200, "Abla", 37.142567, -2.777509, population=1421)], 1)
-    assert (r[0]["population"], r[0]["geonames_id"]) == (1421, 2521886)
-    chain = [place_row(3, "Ourem", 39.65, -8.58), place_row(1, "Ourem", 39.6635, -8.58), place_row(2, "Ourem", 39.677, -8.58)]
-    assert [x["id"] for x in collisions.resolve(chain, 1)] == [1]
-    both = collisions.absorb([place_row(1, "A", 0, 0, alt_names={"en": ["b"]}, native_label=["y"]), place_row(2, "A", 0, 0, alt_names={"en": ["a"], "fr": ["c"]}, native_label=["x"])])
-    assert both["alt_names"] == {"en": ["a", "b"], "fr": ["c"]} and both["native_label"] == ["x", "y"]
-
-
-def test_collisions_qualify():
-    assert names([place_row(1, "Aach", 48.4675, 8.478611, "Q7167", "Zollernalbkreis"), place_row(2, "Aach", 47.8425, 8.853889, "Q7169", "Konstanz")]) == ["Aach", "Aach (Konstanz)"]
-    assert names([place_row(1, "Sarna", 45.4, 16.0, "Q900", "Kutina"), place_row(2, "Sarna", 45.0, 16.0, "Q900", "Kutina")]) == ["Sarna", "Sarna (south Kutina)"]
-    assert names([place_row(1, "Sarna", 45.0, 16.0, population=800), place_row(2, "Sarna", 45.2, 16.3)]) == ["Sarna"]
-    assert names([place_row(1, "Ruse", 43.8, 25.9, "Q1", "Ruse", population=142902), place_row(2, "Ruse", 43.4, 26.2, "Q2", "Vetovo", population=300)]) == ["Ruse", "Ruse (Vetovo)"]
-    assert names([place_row(2841, "Bogota", 4.61, -74.08, "Q2", "Cundinamarca", population=8034649), place_row(1093182, "Bogota", 5.05, -74.0, "Q1", "Central Savanna", population=61549)]) == ["Bogota", "Bogota (Central Savanna)"]
-    assert names([place_row(1, "Drvar", 44.4, 16.0, "Q9", "Drvar Municipality"), place_row(2, "Drvar", 44.0, 16.0, "Q9", "Drvar Municipality")]) == ["Drvar", "Drvar (south)"]
-    same_region = [place_row(1, "Hopewell", 34.0, -86.0, "Q1", "Alabama", population=5), place_row(2, "Hopewell", 33.0, -86.0, "Q1", "Alabama")]
-    assert names(same_region) == ["Hopewell"]
-    kept = [place_row(1, "Floq", 41.0, 20.0, upstream_qualifier="Klos"), place_row(2, "Floq", 41.5, 20.5, population=9)]
-    assert names(kept) == ["Floq (Klos)", "Floq"]
+PLACE = (
+    "id long, source string, admin1_id long, admin1_source string, country_code string, name string, name_lang string, slug string, latitude string, "
+    "longitude string, admin2_id string, population long, geonames_id long, alt_names map<string,array<string>>, native_label array<string>, "
+    "parent_label string, upstream_qualifier string"
+)
+
+
+def place_rows(spark, groups):
+    """One frame of many groups, each a region of its own, unless the rows say otherwise."""
+    cols = [c.split()[0] for c in PLACE.split(", ")]
+    return spark.createDataFrame([tuple({**r, "admin1_id": g}[c] for c in cols) for g, rows in groups.items() for r in rows], PLACE)
+
+
+def test_collisions_merge(spark):
+    groups = {
+        1: [place_row(747074, "Aalen", 48.837222, 10.093611), place_row(31868047, "Aalen", 48.837840, 10.092990)],
+        2: [place_row(100, "Abla", 37.142222, -2.777222, geonames_id=2521886), place_row(200, "Abla", 37.142567, -2.777509, population=1421)],
+        3: [place_row(3, "Ourem", 39.65, -8.58), place_row(1, "Ourem", 39.6635, -8.58), place_row(2, "Ourem", 39.677, -8.58)],
+        4: [place_row(11, "A", 0, 0, alt_names={"en": ["b"]}, native_label=["y"], admin1_source=""), place_row(12, "A", 0, 0, "Q8", "Eight", alt_names={"en": ["a"], "fr": ["c"]}, native_label=["x"])],
+        5: [place_row(21, "B", 0, 0, "Q7"), place_row(22, "B", 0, 0, "Q8", "Eight"), place_row(23, "B", 10, 0)],
+        6: [place_row(31, "C", 0, 0)],
+    }
+    got = {r.id: r for r in collisions.merge_close(place_rows(spark, groups)).collect()}
+    assert set(got) == {747074, 100, 1, 11, 21, 23, 31}
+    assert (got[100].population, got[100].geonames_id) == (1421, 2521886)
+    assert got[11].alt_names == {"en": ["a", "b"], "fr": ["c"]} and got[11].native_label == ["x", "y"]
+    assert (got[11].admin1_source, got[11].admin2_id, got[11].parent_label) == ("stated", "Q8", "Eight")
+    assert (got[21].admin2_id, got[21].parent_label) == ("Q7", None)  # a label goes with its parent
+    assert collisions.merge_close(place_rows(spark, {6: groups[6]})).count() == 1
+
+
+def test_collisions_qualify(spark):
+    groups = {
+        7: ([place_row(1, "Aach", 48.4675, 8.478611, "Q7167", "Zollernalbkreis"), place_row(2, "Aach", 47.8425, 8.853889, "Q7169", "Konstanz")], ["Aach", "Aach (Konstanz)"]),
+        8: ([place_row(3, "Sarna", 45.4, 16.0, "Q900", "Kutina"), place_row(4, "Sarna", 45.0, 16.0, "Q900", "Kutina")], ["Sarna", "Sarna (south Kutina)"]),
+        9: ([place_row(5, "Sarna", 45.0, 16.0, population=800), place_row(6, "Sarna", 45.2, 16.3)], ["Sarna"]),
+        10: ([place_row(7, "Ruse", 43.8, 25.9, "Q1", "Ruse", population=142902), place_row(8, "Ruse", 43.4, 26.2, "Q2", "Vetovo", population=300)], ["Ruse", "Ruse (Vetovo)"]),
+        11: ([place_row(9, "Bogota", 4.61, -74.08, "Q2", "Cundinamarca", population=8034649), place_row(10, "Bogota", 5.05, -74.0, "Q1", "Central Savanna", population=61549)], ["Bogota", "Bogota (Central Savanna)"]),
+        12: ([place_row(11, "Drvar", 44.4, 16.0, "Q9", "Drvar Municipality"), place_row(12, "Drvar", 44.0, 16.0, "Q9", "Drvar Municipality")], ["Drvar", "Drvar (south)"]),
+        13: ([place_row(13, "Hopewell", 34.0, -86.0, "Q13", "Alabama", population=5), place_row(14, "Hopewell", 33.0, -86.0, "Q13", "Alabama")], ["Hopewell"]),
+        14: ([place_row(15, "Floq", 41.0, 20.0, upstream_qualifier="Klos"), place_row(16, "Floq", 41.5, 20.5, population=9)], ["Floq (Klos)", "Floq"]),
+        # Two of three say the same upstream: the first takes it, the largest that has nothing stays plain, the other goes.
+        15: ([place_row(17, "Mali", 1, 1, upstream_qualifier="Ost"), place_row(18, "Mali", 2, 2, upstream_qualifier="Ost"), place_row(19, "Mali", 3, 3, population=4)], ["Mali (Ost)", "Mali"]),
+        # A parent shared by two tells neither apart, but their sectors do; the third has a parent of its own.
+        16: ([place_row(20, "Lug", 45.0, 16.0, "Q1", "Sisak"), place_row(21, "Lug", 45.5, 16.0, "Q1", "Sisak"), place_row(22, "Lug", 45.2, 16.9, "Q2", "Zagreb")], ["Lug", "Lug (north Sisak)", "Lug (Zagreb)"]),
+        17: ([place_row(23, "Solo", 0, 0)], ["Solo"]),
+        18: ([place_row(24, "Zero", 1, 1, population=0), place_row(25, "Zero", 9, 9, "", "")], ["Zero"]),
+    }
+    got = collisions.qualify(place_rows(spark, {g: rows for g, (rows, _) in groups.items()})).orderBy("id").collect()
+    for g, (_, want) in groups.items():
+        assert [r.name for r in got if r.admin1_id == g] == want
+    assert {r.slug for r in got if r.id == 4} == {"sarna-south-kutina"} and all(r.slug == slug(r.name) for r in got)
 
 
 def test_collisions_frame(spark):
     rows = [place_row(1, "Aach", 48.4675, 8.478611, "Q1", "One"), place_row(2, "Aach", 47.8425, 8.853889, "Q2", "Two"), place_row(3, "Aach (Two)", 1, 1, population=7), place_row(4, "Solo", 2, 2, alt_names={"en": ["x"]})]
-    schema = "id long, source string, admin1_id long, admin1_source string, country_code string, name string, name_lang string, slug string, latitude string, longitude string, admin2_id string, population long, geonames_id long, alt_names map<string,array<string>>, native_label array<string>, parent_label string, upstream_qualifier string"
-    cols = [c.split()[0] for c in schema.split(", ")]
-    df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], schema)
-    got = {r.id: r.name for r in collisions.resolve_collisions(df).collect()}
-    assert got == {1: "Aach", 3: "Aach (Two)", 4: "Solo"}  # the sweep keeps the larger of two equal slugs
+    out = collisions.resolve_collisions(place_rows(spark, {1: rows}))
+    assert {r.id: r.name for r in out.collect()} == {1: "Aach", 3: "Aach (Two)", 4: "Solo"}  # the sweep keeps the larger of two equal slugs
+    assert "parent_label" not in out.columns
+    assert collisions.resolve_collisions(place_rows(spark, {})).count() == 0
 
 
 def test_votes(spark):
