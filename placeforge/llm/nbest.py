@@ -12,8 +12,9 @@ remembers; one pass back over the same arcs gives what a word's second best path
 best of the text are the least-cost choices among their alternatives, popped from one heap. The result is the
 same as a search over the whole lattice.
 
-The published vocabulary's piece scores are merge ranks; the search maximises their sum, as for a unigram
-vocabulary. Nothing is trained.
+Scores are unigram log-probabilities. The published vocabulary has merge ranks instead, in which a text's sum says
+nothing of its likelihood; so a piece of rank r gets the probability that Zipf's law gives the r-th most frequent of
+so many, and a byte piece less than any. Scores are rounded to 2**-20, so sums are exact and equal paths tie. Nothing is trained.
 
 Defined results: null and empty texts have no pieces and one path of score 0. Encoding escapes spaces only
 and adds one at the start, so decoding gives back every text exactly. Texts are encoded whole. Repeated rows
@@ -25,6 +26,7 @@ from __future__ import annotations
 import gc
 import heapq
 import itertools
+import math
 import re
 from collections.abc import Sequence
 
@@ -36,20 +38,25 @@ from placeforge.llm.common import map_columns
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
-#: Score of a byte piece, below every other.
-BYTE_SCORE = -1e6
-#: Distinct words that one worker process remembers, and as many again from before.
-REMEMBERED = 300_000
+#: What a byte piece scores below the least of the others.
+BYTE_LOSS = 10.0
+#: Distinct words that one worker process remembers, and as many again from before; longer ones are searched each time.
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 #: Characters that no piece should hold beside others.
 PUNCTUATION = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
+def log_probability(rank: int, total: float) -> float:
+    """Of the piece with so many ranks before it, by Zipf's law; total is the sum of 1 / k over all pieces."""
+    return round(-math.log((rank + 1) * total) * 2**20) / 2**20
+
+
 class Vocabulary:
-    """Pieces with scores, byte pieces, and the longest piece."""
+    """Pieces with scores, and byte pieces."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], names: list[str]):
         self.pieces, self.bytes, self.names = pieces, bytes_, names
-        self.longest = max(map(len, pieces), default=1)
+        self.byte_score = min((w for _, w in pieces.values()), default=0.0) - BYTE_LOSS
         # Every start of a piece, with the piece itself where it is one.
         self.starts: dict[str, tuple[int, float] | None] = {}
         for p in pieces:
@@ -90,8 +97,10 @@ class Vocabulary:
             if sp.is_byte(k):
                 bytes_[int(p[3:5], 16)] = k
             elif not (sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k)):
-                pieces[p] = (k, sp.get_score(k))
-        return cls(pieces, bytes_, names)
+                pieces[p] = (k, -sp.get_score(k))
+        total = sum(1 / k for k in range(1, len(pieces) + 1))
+        ranked = sorted(pieces.items(), key=lambda x: (x[1][1], x[1][0]))
+        return cls({p: (k, log_probability(rank, total)) for rank, (p, (k, _)) in enumerate(ranked)}, bytes_, names)
 
 
 def arcs(word: str, voc: Vocabulary) -> list[tuple[int, int, tuple[int, ...], float]]:
@@ -110,7 +119,7 @@ def arcs(word: str, voc: Vocabulary) -> list[tuple[int, int, tuple[int, ...], fl
                 out.append((s, e, (p[0],), p[1]))
         if not single:
             raw = word[s].encode("utf-8", "surrogatepass")
-            out.append((s, s + 1, tuple(voc.bytes[b] for b in raw), BYTE_SCORE * len(raw)))
+            out.append((s, s + 1, tuple(voc.bytes[b] for b in raw), voc.byte_score * len(raw)))
     return out
 
 
@@ -135,12 +144,13 @@ def viterbi(word: str, voc: Vocabulary) -> tuple[float, tuple[int, ...], float,
                 ahead[e] = v
                 came[e] = (s, i)
             add((s, e, w, v))
-    at, ids, on = n, (), {}
+    at, back_ids, on = n, [], {}
     while at:
         s, i = came[at]
-        ids = i + ids
+        back_ids.append(i)
         on[at] = s
         at = s
+    ids = tuple([k for i in reversed(back_ids) for k in i])
     # Any other path has an arc off the best one; the best path through an arc is known from both sides.
     best, second, back = ahead[n], low, [low] * n + [0.0]
     for s, e, w, v in reversed(lattice):
@@ -196,17 +206,24 @@ class Encoder:
         if len(self.known) > REMEMBERED:  # words met since the last time stay for one more
             self.older, self.known, self.others = self.known, {}, {}
         known, older, voc = self.known, self.older, self.voc
+        long = {}
         for w in set(words).difference(known):
-            known[w] = older.get(w) or viterbi(w, voc)
-        return [known[w] for w in words]
+            if len(w) > LONGEST_REMEMBERED:
+                long[w] = viterbi(w, voc)
+            else:
+                known[w] = older.get(w) or viterbi(w, voc)
+        return [known.get(w) or long[w] for w in words]
 
     def other(self, word: str, best: float, ids: tuple[int, ...]) -> list[tuple[float, tuple[int, ...] | None]]:
         """(loss, ids) of a word's alternatives, the best path (None) first."""
-        if word not in self.others:
+        known = self.others.get(word)
+        if known is None:
             # n + 1 of them, as the best one may stand anywhere among its equals.
             found = [(best - s, i) for s, i in n_best(word, self.voc, self.n + 1) if i != ids]
-            self.others[word] = [(0.0, None), *found][: self.n]
-        return self.others[word]
+            known = [(0.0, None), *found][: self.n]
+            if len(word) <= LONGEST_REMEMBERED:
+                self.others[word] = known
+        return known
 
     def paths(self, text: str | None) -> tuple[list[tuple], list[tuple[float, dict[int, tuple[int, ...]]]]]:
         """The best path by words, and the n best as (score, {word index: its other ids}), best first."""
@@ -296,7 +313,6 @@ def encode_documents(df: DataFrame, model: str = MODEL, n: int = N_BEST, ids: bo
                     other = list(other)
                 n_bytes = sum([x[3] for x in found])
                 rows.append((d, len(t), len(best), n_bytes, len(paths), paths[0][0], paths[-1][0], best if ids else None, at, other if ids else None, exact, every))
-            gc.freeze()
             gc.enable()
             return list(map(list, zip(*rows, strict=True)))
 

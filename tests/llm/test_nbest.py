@@ -1,4 +1,6 @@
+import math
 import random
+import time
 
 import pytest
 from helpers import documents
@@ -20,7 +22,7 @@ def every_path(word):
             out += [(p[1] + s, (p[0], *i)) for s, i in every_path(word[e:])]
     if not single:
         raw = word[0].encode()
-        out += [(nbest.BYTE_SCORE * len(raw) + s, (*(VOC.bytes[b] for b in raw), *i)) for s, i in every_path(word[1:])]
+        out += [(VOC.byte_score * len(raw) + s, (*(VOC.bytes[b] for b in raw), *i)) for s, i in every_path(word[1:])]
     return out
 
 
@@ -78,3 +80,38 @@ def test_rows_hold_all_n_paths(spark):
             got.append((p.score, ids))
             assert p.exact == (enc.decode(ids) == (texts[r.doc_id] or ""))
         assert got == want and len(got) == r.n_paths and got[-1][0] == r.last_score
+
+
+def test_scores_are_log_probabilities():
+    total = sum(math.exp(w) for _, w in VOC.pieces.values())
+    assert 0.99 < total < 1.01 and VOC.byte_score < min(w for _, w in VOC.pieces.values())
+    # A known word is one piece, however late it was merged.
+    assert [VOC.names[i] for i in nbest.Encoder(VOC).encode("The quick")[0][1]] == ["▁The", "▁quick"]
+
+
+def test_best_paths_are_close_to_the_model_s_own():
+    """The model merges greedily, the search doesn't; on common words both give the same pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=nbest.MODEL)
+    words = "The quick brown fox jumps over the lazy dog near an old bridge where people wait for the morning train and read their papers".split()
+    same = sum(nbest.Encoder(VOC).encode(w)[0][1] == model.encode(w) for w in words)
+    assert same > 0.9 * len(words)
+
+
+@pytest.mark.parametrize("make", [lambda n: "a" * n, lambda n: "qz" * n, lambda n: " " * n, lambda n: "é☃" * n, lambda n: "\0" * n, lambda n: "ab " * n, lambda n: "#" * n])
+def test_time_grows_with_length(make):
+    def took(n):
+        start = time.perf_counter()
+        got = nbest.Encoder(VOC).encode(make(n))
+        assert all(sum(len(VOC.raw[i]) for i in ids) for _, ids in got)
+        return time.perf_counter() - start
+
+    took(100)
+    assert took(100_000) < 9 * max(took(25_000), 0.05)
+
+
+def test_very_long_texts_round_trip(spark):
+    texts = ["a" * 1_000_000, " " * 1_000_000, "\0" * 200_000, "word " * 200_000]
+    rows = nbest.encode_documents(documents(spark, list(enumerate(texts)))).collect()
+    assert len(rows) == 4 and all(r.exact and all(p.exact for p in r.paths) for r in rows)
