@@ -12,8 +12,14 @@ the radius by no more than that in sum. That is more copies of each and far fewe
 are the same.
 
 Equal fingerprints are one fingerprint before anything is copied. An anchor's links leave it as a spanning
-star for each group, never as all pairs; an anchor with too many at home is cut into tiles. Components are
-found by joins over distributed tables, with lineage cut at each round.
+star for each group, never as all pairs. A crowded anchor is cut into tiles on both sides, so many at home against so
+many that came, and no task holds more than one tile. Components are found by joins over distributed tables, with
+lineage cut at each round.
+
+`near_duplicates` links fingerprints of 64 bits. `keep_first` drops near copies by their similarity: the share of
+differing bits of two fingerprints estimates the angle between the two texts' shingles, and so their Jaccard
+similarity. It carries a second fingerprint word beside the first, finds candidates by the first in a wide radius, and
+decides by the bits of both.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; repeated rows get equal
 components; a component is named by its least doc_id that isn't null. Texts are hashed whole.
@@ -22,6 +28,7 @@ components; a component is named by its least doc_id that isn't null. Texts are
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import durable, map_columns, bounded_batches
+from placeforge.llm.common import bounded_batches, durable, map_columns, release
 
 BITS = 64
 BLOCKS = (23, 23, 18)
@@ -42,32 +49,66 @@ GENERATOR = 0b110001110101
 RADIUS = 3
 #: From so many distinct fingerprints on, comparing at single anchors costs more than copying to pairs of them.
 PAIRED_FROM = 40_000_000
-#: Fingerprints at home at one anchor that one tile compares.
-TILE = 8192
+#: Fingerprints at home at one anchor that one tile compares with so many that came there.
+TILE, ARRIVALS = 8192, 65_536
 MOST_ROUNDS = 60
+#: What `keep_first` takes for near copies: words in a shingle and Jaccard similarity.
+STAGE_SHINGLE, SIMILARITY = 5, 0.8
+#: The radius in which it looks for candidates; 9, 10 and 11 bits cost the same copies.
+STAGE_THRESHOLD = 11
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """The unsigned fingerprint of a whole text."""
+def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """The hash of each shingle of a whole text; of the whole sequence where it has fewer words; none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     n = len(words)
     if n == 0:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     if n <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], dtype=np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=n) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[: n - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], dtype=np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], dtype=np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     counts = np.zeros(BITS, dtype=np.int64)
     for k in range(0, len(h), 4096):
         part = h[k : k + 4096]
         counts += np.unpackbits(part.view(np.uint8).reshape(len(part), 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(h), bitorder="little")
-    return int.from_bytes(bits.tobytes(), "little")
+    return int.from_bytes(np.packbits(2 * counts > len(h), bitorder="little").tobytes(), "little")
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes whose bits are independent of those of h."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """The unsigned fingerprint of a whole text."""
+    return majority(shingle_hashes(text, width))
+
+
+def fingerprint_pair(text: str | None, width: int = STAGE_SHINGLE) -> tuple[int, int]:
+    """Two independent words of a fingerprint."""
+    h = shingle_hashes(text, width)
+    return majority(h), majority(mixed(h))
+
+
+def bits_apart(similarity: float, bits: int, deviations: float = 0.0) -> int:
+    """How many of so many bits differ between two texts of a Jaccard similarity, with so many standard deviations more.
+
+    Two sets of one size have the cosine 2 s / (1 + s), and a bit differs with the angle's share of a half turn.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
 def _syndromes(x: np.ndarray) -> np.ndarray:
@@ -106,6 +147,10 @@ class Covering:
         self.patterns = _patterns(RADIUS + self.over)
         weight = np.bitwise_count(np.maximum(self.patterns, 0).astype(np.uint64)).astype(np.int64)
         self.excess = np.where(self.patterns < 0, 99, np.maximum(weight - RADIUS, 0))
+        by_excess = [(self.excess == k).sum() / len(self.excess) for k in range(self.over + 1)]
+        spread = by_excess if together == 1 else np.convolve(by_excess, by_excess)[: self.over + 1]
+        #: Anchors that a fingerprint goes to, on average.
+        self.copies = len(self.sets) * float(sum(spread))
 
     def anchors(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, anchor and whether it's the home anchor, over all blocks or pairs of blocks."""
@@ -149,72 +194,109 @@ def merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             labels = jump
 
 
-def link_anchor(fps: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning star for each linked group among those at one anchor."""
-    labels = np.arange(len(fps))
-    at = np.nonzero(home)[0]
-    step = max(1, (1 << 21) // max(len(fps), 1))
+ARRIVED, HOME = 1, 2
+
+
+def link_tile(words: list[np.ndarray], role: np.ndarray, threshold: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning star for each linked group in one tile, as row numbers: those at home against those that came.
+
+    Two are linked when their first words differ in at most `threshold` bits, and all words together in at most `most`.
+    """
+    labels = np.arange(len(role))
+    came = np.nonzero(role & ARRIVED)[0]
+    at = np.nonzero(role & HOME)[0]
+    theirs = words[0][came]
+    step = max(1, (1 << 21) // max(len(came), 1))
     for k in range(0, len(at), step):
         mine = at[k : k + step]
-        i, j = np.nonzero(np.bitwise_count(fps[mine][:, None] ^ fps[None, :]) <= threshold)
-        other = mine[i] != j
-        labels = merge(labels, mine[i[other]], j[other])
-    moved = np.nonzero(labels != np.arange(len(fps)))[0]
-    return fps[moved], fps[labels[moved]]
+        i, j = np.nonzero(np.bitwise_count(words[0][mine][:, None] ^ theirs[None, :]) <= threshold)
+        a, b = mine[i], came[j]
+        ok = a != b
+        if most is not None:
+            ok &= sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in words) <= most
+        labels = merge(labels, a[ok], b[ok])
+    moved = np.nonzero(labels != np.arange(len(labels)))[0]
+    return moved, labels[moved]
+
 
+def links(distinct: DataFrame, threshold: int = THRESHOLD, most: int | None = None) -> DataFrame:
+    """Pairs (a, b) of fingerprints whose graph has the components of all linked pairs.
 
-def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of fingerprints whose graph has the components of all pairs within the threshold."""
+    distinct has the words of each fingerprint: `fp`, and `fp2` where two words decide. A node is the word or the struct
+    of both.
+    """
     spark = distinct.sparkSession
-    together = 1 if distinct.count() < PAIRED_FROM else 2
-    step = 20_000 if together == 1 else 2_000
+    names = [c for c in ("fp", "fp2") if c in distinct.columns]
+    # Pairs of anchors for a wide radius would be thousands of copies.
+    together = 2 if 2 * threshold // len(BLOCKS) <= RADIUS and distinct.count() >= PAIRED_FROM else 1
+    step = max(1, int(40_000_000 / (64 * Covering(threshold, together=together).copies)))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]):
         cover = Covering(threshold, together=together)
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for k in range(0, len(fps), step):
-                part = fps[k : k + step]
-                rows, keys, homes = cover.anchors(part)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(part[rows].view(np.int64)), pa.array(homes)], names=["anchor", "fp", "home"])
+            words = [c.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in batch.columns]
+            for k in range(0, len(words[0]), step):
+                part = [w[k : k + step] for w in words]
+                yield part, cover.anchors(part[0])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, (rows, keys, homes) in anchors(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), *(pa.array(w[rows].view(np.int64)) for w in part), pa.array(homes)], names=["anchor", *names, "home"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (_, keys, homes) in anchors(batches):
+            key, at = np.unique(keys, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(np.bincount(at)), pa.array(np.bincount(at, homes).astype(np.int64))], names=["a2", "came", "home"])
 
     bounded_batches(spark)
-    spreaded = distinct.select("fp").mapInArrow(spread, "anchor int, fp long, home boolean")
-    crowd = spreaded.filter("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
-    tiles = crowd.select(F.col("anchor").alias("a2"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    fields = ", ".join(f"{c} long" for c in names)
+    spreaded = distinct.select(*names).mapInArrow(spread, f"anchor int, {fields}, home boolean")
+    crowd = distinct.select(*names).mapInArrow(count, "a2 int, came long, home long").groupBy("a2").agg(F.sum("came").alias("came"), F.sum("home").alias("homes"))
+    crowd = crowd.filter((F.col("homes") > TILE) | (F.col("came") > ARRIVALS))
+    tiles = crowd.select("a2", F.ceil(F.col("homes") / TILE).cast("int").alias("rows"), F.ceil(F.col("came") / ARRIVALS).cast("int").alias("columns"))
     if together == 1:  # at most 12,288 rows
         tiles = F.broadcast(tiles)
-    placed = spreaded.join(tiles, F.col("anchor") == F.col("a2"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    placed = placed.select("anchor", "fp", "home", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    placed = placed.select("anchor", "tile", "fp", (F.col("home") & (F.col("own") == F.col("tile"))).alias("home"))
+    placed = spreaded.join(tiles, F.col("anchor") == F.col("a2"), "left")
+    row = F.pmod(F.xxhash64(*names), F.col("rows")).cast("int")
+    column = F.pmod(F.xxhash64(*names, F.lit(1)), F.col("columns")).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1)
+    tile = lambda r, c, role: F.struct(r.alias("row"), c.alias("column"), F.lit(role).alias("role"))
+    came = F.transform(every("rows"), lambda r: tile(r, column, ARRIVED))
+    at_home = F.when(F.col("home"), F.transform(every("columns"), lambda c: tile(row, c, HOME))).otherwise(F.array().cast("array<struct<row:int,column:int,role:int>>"))
+    alone = F.array(F.struct(F.lit(0).alias("row"), F.lit(0).alias("column"), F.when(F.col("home"), ARRIVED | HOME).otherwise(ARRIVED).alias("role")))
+    placed = placed.select("anchor", *names, F.inline(F.when(F.col("rows").isNull(), alone).otherwise(F.concat(came, at_home))))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def flush(parts):
-            if parts:
-                f, h = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
-                if h.any() and len(f) > 1:
-                    a, b = link_anchor(f, h, threshold)
+        held: list[tuple[np.ndarray, list[np.ndarray]]] = []
+
+        def flush():
+            if held:
+                columns = [np.concatenate([p[1][k] for p in held]) for k in range(len(names) + 1)]
+                words, role = [c.view(np.uint64) for c in columns[:-1]], columns[-1]
+                if (role & HOME).any() and len(role) > 1:
+                    a, b = link_tile(words, role, threshold, most)
                     if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(w[x].view(np.int64)) for x in (a, b) for w in words], names=[f"{x}{k}" for x in "ab" for k in range(len(names))])
 
         for batch in batches:
-            key = batch.column(0).to_numpy().astype(np.int64) << 32 | batch.column(1).to_numpy()
-            f = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            h = batch.column(3).to_numpy(zero_copy_only=False)
-            cuts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1, [len(key)]])
-            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0][0] != key[s]:
-                    yield from flush(held)
-                    held = []
-                held.append((key[s], f[s:e], h[s:e]))
-        yield from flush(held)
+            anchor, line, column = (batch.column(k).to_numpy().astype(np.int64) for k in (0, len(names) + 1, len(names) + 2))
+            values = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (*range(1, len(names) + 1), len(names) + 3)]
+            new = (anchor[1:] != anchor[:-1]) | (line[1:] != line[:-1]) | (column[1:] != column[:-1])
+            cuts = np.concatenate([[0], np.nonzero(new)[0] + 1, [len(anchor)]])
+            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                key = (anchor[s], line[s], column[s])
+                if held and held[0][0] != key:
+                    yield from flush()
+                    held.clear()
+                held.append((key, [v[s:e] for v in values]))
+        yield from flush()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.repartition(parts, "anchor", "tile").sortWithinPartitions("anchor", "tile")
-    return dealt.mapInArrow(compare, "a long, b long").filter("a <> b").distinct()
+    dealt = placed.select("anchor", *names, "row", "column", "role").repartition(parts, "anchor", "row", "column").sortWithinPartitions("anchor", "row", "column")
+    ends = ", ".join(f"{x}{k} long" for x in "ab" for k in range(len(names)))
+    found = dealt.mapInArrow(compare, ends)
+    node = lambda x: (F.col(f"{x}0") if len(names) == 1 else F.struct(F.col(f"{x}0").alias("fp"), F.col(f"{x}1").alias("fp2"))).alias(x)
+    return found.select(node("a"), node("b")).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -230,18 +312,21 @@ def components(edges: DataFrame) -> DataFrame:
             return state
         # Each root takes the least root next to it, if less; then chains are halved until they are stars.
         both = edges.select(F.col("b").alias("r"), F.col("a").alias("low")).groupBy("r").agg(F.min("low").alias("low"))
-        hooks = durable(both, "hooks")
+        moved = durable(both.withColumn("m", F.lit(True)), "hooks")
         while True:
+            before, hooks = moved, moved.select("r", "low")
             nxt = hooks.select(F.col("r").alias("r2"), F.col("low").alias("low2"))
             jumped = hooks.join(nxt, F.col("low") == F.col("r2"), "left")
             moved = durable(jumped.select("r", F.coalesce("low2", "low").alias("low"), F.col("low2").isNotNull().alias("m")), "hooks")
-            hooks = moved.select("r", "low")
+            release(before)
             if moved.filter("m").isEmpty():
                 break
+        hooks, before = moved.select("r", "low"), (state, edges, moved)
         state = durable(state.join(hooks, F.col("root") == F.col("r"), "left").select("node", F.coalesce("low", "root").alias("root")), "roots")
         left = edges.join(hooks, F.col("a") == F.col("r"), "left").select(F.coalesce("low", "a").alias("a"), "b")
         left = left.join(hooks, F.col("b") == F.col("r"), "left").select("a", F.coalesce("low", "b").alias("b"))
         edges = durable(left.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        release(*before)
     raise RuntimeError("components did not settle")
 
 
@@ -273,29 +358,43 @@ def near_duplicates(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 BROADCAST_ROWS = 2_000_000
 
 
-def keep_first(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """df with one row of each component: the least (doc_id, text hash), null ids last.
+def keep_first(df: DataFrame, similarity: float = SIMILARITY, width: int = STAGE_SHINGLE, threshold: int = STAGE_THRESHOLD) -> DataFrame:
+    """df with one row of each component of near copies: the least (doc_id, text hash), null ids last.
 
-    Rows alike in doc_id and text are one row. Texts stay where they are while the keys to drop are few
-    enough to broadcast; beyond that the table is joined on them.
+    Two texts are near copies when the bits of both fingerprint words, over shingles of `width` words, put their
+    similarity at `similarity` or more, one standard deviation granted. Rows alike in doc_id and text are one row.
+    Texts stay where they are while the keys to drop are few enough to broadcast; beyond that the table is joined on them.
     """
 
     def make():
         def run(ids, texts, hashes):
-            return ids, np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64), hashes
+            pairs = [fingerprint_pair(t, width) for t in texts]
+            return ids, hashes, *(np.array([p[k] for p in pairs], dtype=np.uint64).view(np.int64) for k in (0, 1))
 
         return run
 
-    keyed = df.withColumn("__t", F.xxhash64("text")).withColumn("__d", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    rows = durable(map_columns(keyed, ("__d", "text", "__t"), "d long, fp long, t long", make), "fingerprints")
-    distinct = durable(rows.groupBy("fp").agg(F.min(F.struct("d", "t")).alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct, threshold))
-    named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("least", F.coalesce("root", "fp").alias("root"))
-    kept = named.groupBy("root").agg(F.min("least").alias("least")).select("least.d", "least.t").distinct()
-    counted = rows.groupBy("d", "t").agg(F.count(F.lit(1)).alias("n"))
+    own = df.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    rows = durable(map_columns(own, ("doc_id", "text", "hash"), "doc_id long, hash long, fp long, fp2 long", make), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
+    distinct = durable(rows.groupBy("fp", "fp2").agg(F.min(place).alias("least")), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp", "fp2"), threshold, bits_apart(similarity, 2 * BITS, 1.0)))
+    both = F.struct("fp", "fp2")
+    named = distinct.join(roots, both == F.col("node"), "left").select("least", F.coalesce("root", both).alias("root"))
+    # Names that no column of df has, whatever it has.
+    free = "_" * (1 + max(map(len, df.columns)))
+    d, h = f"{free}d", f"{free}h"
+    kept = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias(d), F.col("least.hash").alias(h))
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.col("hash") == F.col(h))
+    counted = rows.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("n"))
     repeated = not counted.filter("n > 1").isEmpty()
-    gone = durable(rows.select("d", "t").join(kept, ["d", "t"], "left_anti").distinct(), "dropped")
-    small = gone.count() <= BROADCAST_ROWS
-    on = (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t"))
-    out = keyed.join(F.broadcast(gone) if small else gone, on, "left_anti")
-    return (out.dropDuplicates(["__d", "__t"]) if repeated else out).drop("__d", "__t")
+    gone = counted.join(kept, same, "left_anti").select(F.col("doc_id").alias(d), F.col("hash").alias(h))
+    gone = durable(gone, "dropped")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    out = df.join(gone, df["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(df["text"]) == F.col(h)), "left_anti")
+    if not repeated:
+        return out
+    # Of rows alike in doc_id and text but not in the rest, the one whose columns hash least.
+    columns = F.struct(*df.columns)
+    one = out.groupBy(F.col("doc_id").alias(d), F.xxhash64("text").alias(h)).agg(F.min_by(columns, F.xxhash64(F.to_json(columns))).alias(free))
+    return one.select(f"{free}.*")
