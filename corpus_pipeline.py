@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least doc_id."""
+    """One document of each group of near copies (similarity 0.8 over five words): the one with the least doc_id."""
     return simhash.keep_first(docs).select(*COLUMNS)
 
 
