@@ -32,7 +32,7 @@ def test_hits_equal_brute_force(spark, monkeypatch):
     want = decontaminate(docs, bench)
     df = documents(spark, docs, extra=("th", "w", "pos", "key"))
     assert rows_of(decontam.decontaminate(df, b)) == want
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)  # the way beyond the bound
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)  # the way beyond the bound
     assert rows_of(decontam.decontaminate(df, b)) == want
 
 
@@ -41,7 +41,9 @@ def test_clean_drops_contaminated_rows_only(spark, monkeypatch):
     b = spark.createDataFrame(bench, "item_id long, text string")
     want = sorted(i for i, r in decontaminate(docs, bench).items() if not r[4])
     for most in (decontam.BROADCAST_KEYS, 0):
-        got = decontam.drop_rows(documents(spark, docs), decontam.bad_rows(documents(spark, docs), b), most)
+        df = documents(spark, docs, extra=("__d", "__t", "th"))
+        got = decontam.drop_rows(df, decontam.bad_rows(df, b), most)
+        assert got.columns == df.columns
         assert sorted(r.doc_id for r in got.collect()) == want
 
 
@@ -58,3 +60,25 @@ def test_main_path_is_native(spark):
     df = decontam.decontaminate(documents(spark, docs), spark.createDataFrame(bench, "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_beyond_the_bound_no_text_is_dealt_by_position(spark, monkeypatch):
+    """The shuffle of positions carries keys only; words come back for what matched."""
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    docs, bench = case()
+    h = decontam.hits(documents(spark, docs), spark.createDataFrame(bench, "item_id long, text string"))
+    plan = h._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "key#" in plan
+
+
+def test_very_long_texts(spark, monkeypatch):
+    item = " ".join(f"w{k}" for k in range(20))
+    docs = [(1, "a " * 300_000), (2, "b" * 1_000_000), (3, " " * 1_000_000), (4, ("x " * 50_000) + item + (" y" * 50_000)), (5, "\0" * 200_000), (6, item * 2000)]
+    b = spark.createDataFrame([(1, item), (2, "z " * 100_000), (3, "a a")], "item_id long, text string")
+    want = None
+    for most in (64 << 20, 0):
+        monkeypatch.setattr(decontam, "BROADCAST_BYTES", most)
+        got = rows_of(decontam.decontaminate(documents(spark, docs), b))
+        assert got[1][1:3] == (300_000, 1) and got[4][1:3] == (20, 1) and got[2][:2] == (1, 0) and got[3][0] == 0
+        assert want in (None, got)
+        want = got
