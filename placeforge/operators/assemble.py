@@ -105,13 +105,27 @@ def mean_coordinates(settlements: DataFrame, regions: DataFrame) -> DataFrame:
     return g.select("admin1_id", _mean_udf("p").alias("m")).select("admin1_id", "m.latitude", "m.longitude")
 
 
+def first_of(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row for each key: the first in the given order."""
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("__turn", turn).filter("__turn = 1").drop("__turn")
+
+
+def sole_flags(is_country: Column, country: str, flat: Column | None = None) -> tuple[Column, Column]:
+    """(sole, unassigned) of a region that is the country itself: whether it is the country's only one."""
+    alone = F.count(F.lit(1)).over(Window.partitionBy(country)) == 1
+    sole = alone if flat is None else flat | alone
+    return is_country & sole, is_country & ~sole
+
+
 def region_rows(records: DataFrame, plan: DataFrame, settlements: DataFrame) -> DataFrame:
     """Region rows from division records (entity columns plus iso2, iso_code, native, zone, country_name).
 
     plan: iso2, country_qid, mode. A region without a name is left out, and with it its settlements.
     """
-    used = Window.partitionBy("iso2")
-    r = records.join(plan.select("iso2", "country_qid", "mode"), "iso2").withColumn("regions", F.count(F.lit(1)).over(used))
+    r = records.join(plan.select("iso2", "country_qid", "mode"), "iso2")
+    sole, unassigned = sole_flags(F.col("id") == F.col("country_qid"), "iso2", F.col("mode") == "country")
+    r = r.withColumn("sole", sole).withColumn("unassigned", unassigned)
     r = r.withColumn("n", resolve_column(F.col("labels"), F.col("native")))
     flat = F.col("mode") == "country"
     r = r.withColumn("name0", F.when(flat, F.col("country_name")).otherwise(F.col("n.name"))).filter(F.coalesce("name0", F.lit("")) != "")
@@ -122,13 +136,11 @@ def region_rows(records: DataFrame, plan: DataFrame, settlements: DataFrame) ->
     mean = mean_coordinates(settlements, bare).select(F.col("admin1_id").alias("id"), F.col("latitude").alias("m_lat"), F.col("longitude").alias("m_lng"))
     r = r.join(mean, "id", "left")
     point = F.col("lat0").isNotNull() & F.col("lng0").isNotNull()
-    is_country = F.col("id") == F.col("country_qid")
-    sole = flat | (F.col("regions") == 1)
     extra = extra_fields(F.col("native"), F.col("zone"), F.col("n.lang"), F.col("n.original"))
     return r.select(
         "id", F.lit(K.SOURCE).alias("source"), F.col("iso2").alias("country_code"), "name", slug_column(F.col("name")).alias("slug"),
         F.when(~flat, F.col("n.lang")).alias("name_lang"), F.col("iso_code").alias("iso_3166_2"),
-        (is_country & sole).alias("sole"), (is_country & ~sole).alias("unassigned"),
+        "sole", "unassigned",
         F.when(point, F.col("lat0")).otherwise(F.col("m_lat")).alias("latitude"),
         F.when(point, F.col("lng0")).otherwise(F.col("m_lng")).alias("longitude"), *extra,
     ).select(*REGION_KEYS)

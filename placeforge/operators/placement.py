@@ -20,7 +20,8 @@ def place(settlements: DataFrame, assign: DataFrame, contains_assign: DataFrame,
 
     The three small tables are a few thousand rows for a world; joins on them are broadcast by their size.
     """
-    owner = divisions.select(F.col("qid").alias("division"), F.col("iso2").alias("d_iso2")).dropDuplicates(["division"])
+    # A division with codes of two countries belongs to the first by code.
+    owner = divisions.groupBy(F.col("qid").alias("division")).agg(F.min("iso2").alias("d_iso2"))
     country = plan.select(F.col("country_qid").alias("division"), F.col("iso2").alias("c_iso2"), (F.col("mode") == "admin1").alias("level"))
     home = plan.select(F.col("country_qid").alias("home"), F.col("iso2").alias("h_iso2"), F.col("mode").alias("h_mode"))
     better = contains_assign.select(F.col("qid").alias("id"), F.col("division").alias("b_division"))

@@ -146,7 +146,7 @@ def build(spark: SparkSession, scan: Scan, wanted: tuple[str, ...] | None = None
     facts = plan.select("iso2", "country_qid").join(native, "iso2", "left").join(zones, "iso2", "left")
     rows = scan.entities.join(assigned, "id").join(facts.select("iso2", "native", "zone"), "iso2", "left")
     found = assemble.settlement_rows(rows)
-    found = durable(found.filter("reject is null").drop("reject").dropDuplicates(["id"]), "rows")
+    found = durable(assemble.first_of(found.filter("reject is null").drop("reject"), "id", "country_code", "admin1_id"), "rows")
     group = found.groupBy("admin1_id", "slug").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     asked = found.join(group, ["admin1_id", "slug"], "left_semi").select("admin2_id", "country_code").distinct()
     asked = asked.join(facts.select(F.col("iso2").alias("country_code"), "native"), "country_code", "left")

@@ -55,10 +55,10 @@ UNION SELECT tag, child FROM e JOIN c ON parent = qid WHERE qid <> 9) SELECT tag
 
 def g4_reach_up(spark, sf_dir):
     t = tree(spark, sf_dir)
-    return graph.reach_up(t, t.filter("child >= 1000 and child % 50 = 0").select(F.col("child").alias("qid")))
+    return graph.reach_up(t, t.select(F.col("child").alias("qid")))
 
 
-G4 = f"""WITH RECURSIVE {TREE_SQL}, c AS (SELECT child AS qid FROM tree WHERE child >= 1000 AND child % 50 = 0
+G4 = f"""WITH RECURSIVE {TREE_SQL}, c AS (SELECT child AS qid FROM tree
 UNION SELECT parent FROM tree JOIN c ON child = qid) SELECT qid FROM c"""
 
 

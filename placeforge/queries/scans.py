@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeforge import constants as K
 from placeforge.queries.views import table
 from placeforge.sources import files, triples
+from placeforge.tables import shared_dir
 
 _E, _D = f"<{K.ENTITY_IRI}Q", f"<{K.DIRECT_IRI}"
 
@@ -55,14 +58,14 @@ S3 = """SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS en, lower(n_name) AS
 
 def s2_line_trim(spark, sf_dir):
     """Lines with and without the final dot, and cut ones: how each object reads."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 4 <> 3")
-    end = F.element_at(F.array(F.lit(" ."), F.lit(""), F.lit("  .  ")), (F.col("o_orderkey") % 4).cast("int") + 1)
+    o = table(spark, sf_dir, "orders")
+    end = F.element_at(F.array(F.lit(" ."), F.lit(""), F.lit("  .  "), F.lit("\t.\r")), (F.col("o_orderkey") % 4).cast("int") + 1)
     body = F.concat(F.lit(_E), F.col("o_orderkey").cast("string"), F.lit(f"> {_D}P17> "), _item(F.col("o_custkey")), end)
     got = triples.parse_lines(o.select(body.alias("line"), F.monotonically_increasing_id().alias("pos")))
     return got.select(F.col("subject").alias("id"), "field", "value", "kind")
 
 
-S2 = "SELECT o_orderkey AS id, 'country' AS field, 'Q' || o_custkey AS value, 'iri' AS kind FROM orders WHERE o_orderkey % 4 <> 3"
+S2 = "SELECT o_orderkey AS id, 'country' AS field, 'Q' || o_custkey AS value, 'iri' AS kind FROM orders"
 
 
 def s4_lang_tags(spark, sf_dir):
@@ -141,24 +144,25 @@ UNION ALL SELECT CAST(n_nationkey + 100 AS BIGINT), CAST(n_regionkey AS BIGINT),
 
 
 def s13_json_records(spark, sf_dir):
-    """Records read from JSON lines with a fixed schema."""
-    e = table(spark, sf_dir, "events")
-    doc = F.to_json(F.struct(F.col("event_id").alias("id"), F.array(F.col("event_type")).alias("instance_of"), F.col("user_id").cast("string").alias("population")))
-    r = F.from_json(doc, triples.ENTITY)
-    return e.select(r["id"].alias("id"), r["instance_of"][0].alias("kind"), r["population"].alias("population"), r["coord"].isNull().alias("no_coord"))
+    """Events written as shards of JSON lines and read as records with the fixed schema."""
+    e, path = table(spark, sf_dir, "events"), f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
+    shard = (F.col("user_id") % 16).cast("string").alias("shard")
+    files.write_records(e.select(F.col("event_id").alias("id"), F.array("event_type").alias("instance_of"), F.col("user_id").cast("string").alias("population"), shard), path)
+    r = files.read_records(spark, path)
+    return r.select("id", F.col("instance_of")[0].alias("kind"), "population", F.col("coord").isNull().alias("no_coord"))
 
 
 S13 = "SELECT event_id AS id, event_type AS kind, CAST(user_id AS VARCHAR) AS population, TRUE AS no_coord FROM events"
 
 
 def s16_single_zone(spark, sf_dir):
-    """Parts as countries, their suppliers as zones: those with exactly one."""
-    li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 46")
-    lines = li.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string"), F.lit("\t+0+0\tzone/"), F.col("l_suppkey").cast("string")).alias("value"))
+    """Orders as countries, their suppliers as zones: those with exactly one."""
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.select(F.concat(F.lit("p"), F.col("l_orderkey").cast("string"), F.lit("\t+0+0\tzone/"), F.col("l_suppkey").cast("string")).alias("value"))
     return files.zones_of(lines)
 
 
-S16 = "SELECT 'P' || l_partkey AS iso2, 'zone/' || min(l_suppkey) AS zone FROM lineitem WHERE l_quantity >= 46 GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) = 1"
+S16 = "SELECT 'P' || l_orderkey AS iso2, 'zone/' || min(l_suppkey) AS zone FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) = 1"
 
 
 def s17_allow_list(spark, sf_dir):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import pathlib
+import shutil
 import tempfile
 import zipfile
 
@@ -21,13 +23,15 @@ SETTINGS = {
 
 
 def session(app: str = "placeforge", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with SETTINGS; keyword names use double underscores for dots."""
+    """A session with SETTINGS whose executors have this package; keyword names use double underscores for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def ship(spark: SparkSession) -> None:
@@ -39,7 +43,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_placeforge_shipped", False):
         return
     top = pathlib.Path(__file__).resolve().parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="placeforge-"), "placeforge-source.zip")
+    folder = tempfile.mkdtemp(prefix="placeforge-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "placeforge-source.zip")
     with zipfile.ZipFile(archive, "w") as z:
         for path in sorted(top.rglob("*.py")):
             z.write(path, str(path.relative_to(top.parent)))

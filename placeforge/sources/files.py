@@ -13,8 +13,13 @@ from placeforge.schema import ENTITY
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Entity records from JSON lines; fields that are missing are null."""
-    return spark.read.schema(ENTITY).json(path, pathGlobFilter="*.jsonl")
+    """Entity records from JSON lines in a folder or below it; fields that are missing are null."""
+    return spark.read.schema(ENTITY).json(path, pathGlobFilter="*.json{,l,.gz,l.gz}", recursiveFileLookup=True)
+
+
+def write_records(records: DataFrame, path: str) -> None:
+    """Records with their `shard` as JSON lines, a folder for each shard; fields that are null are left out."""
+    records.repartition("shard").write.mode("overwrite").partitionBy("shard").json(path)
 
 
 def read_packed_edges(spark: SparkSession, path: str) -> DataFrame:
