@@ -14,7 +14,7 @@ from placeforge.schema import ENTITY
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Entity records from JSON lines in a folder or below it; fields that are missing are null."""
-    return spark.read.schema(ENTITY).json(path, pathGlobFilter="*.json{,l,.gz,l.gz}", recursiveFileLookup=True)
+    return spark.read.schema(ENTITY).json(path, pathGlobFilter="{*.jsonl,*.jsonl.gz,part-*.json*}", recursiveFileLookup=True)
 
 
 def write_records(records: DataFrame, path: str) -> None:
