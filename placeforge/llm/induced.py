@@ -3,22 +3,24 @@
 Suffixes are induced in the order of their first character: when a bucket is taken, the suffix before each
 of its members goes to the queue of its own first character, in the order in which they were met. The queues
 together are a monotone priority queue; each holds blocks of positions in memory and sends them to a file in
-the given folder when all of them together pass the memory limit. The text, its types and the final order stay in
-memory, so the caller bounds the length of what it sorts.
+the given folder when all of them together pass the memory limit, and blocks that have been taken for the last time
+are let go. The text, its types and the final order stay in memory, so the caller bounds the length of what it sorts.
 
-LMS substrings are sorted by one such induction and named, the names are ranked over `depth` characters, and
-a second induction orders all suffixes by their first `depth` characters (equal ones in any order).
+LMS substrings are sorted by one such induction and named. The string of names, a third of the text's length or less,
+is sorted by recursive induction, which gives the order of the LMS suffixes, and a second induction that of all.
+Common prefixes aren't carried along: neighbours are compared eight bytes at a time afterwards (`equal_next`).
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 
 import numpy as np
 
-#: Positions that all queues hold in memory together.
-MEMORY_ITEMS = 32_000_000
+#: Positions that all queues of one induction hold in memory together.
+MEMORY_ITEMS = 1 << 18
 ALPHABET = 258  # the end, a separator, and 256 bytes
 END, SEPARATOR = 0, 1
 
@@ -44,6 +46,11 @@ class Queues:
             self.held += len(block)
             self.blocks[c].append(block)
 
+    def drop(self, c: int) -> None:
+        """Let the memory of a queue go."""
+        self.held -= sum(len(b) for b in self.blocks[c] if not isinstance(b, tuple))
+        self.blocks[c] = []
+
     def deal(self, positions: np.ndarray, chars: np.ndarray) -> None:
         """Append each position to the queue of its character, order kept."""
         if len(positions):
@@ -140,46 +147,92 @@ def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int,
     return up, down
 
 
-def suffix_order(t: np.ndarray, depth: int, memory_items: int = MEMORY_ITEMS, folder: str | None = None) -> np.ndarray:
-    """All suffixes of t (last symbol END, nowhere else) in the order of their first `depth` symbols."""
+def suffix_order(t: np.ndarray, memory_items: int = MEMORY_ITEMS, folder: str | None = None) -> np.ndarray:
+    """All suffixes of t (last symbol END, nowhere else) in order."""
     n = len(t)
     small = types(t)
     lms = (np.nonzero(small[1:] & ~small[:-1])[0] + 1).astype(kind(n))
     if len(lms) > 1:
         up, down = induce(t, small, lms, memory_items, folder)
+        up.close()
         is_lms = np.zeros(n, dtype=bool)
         is_lms[lms] = True
         parts = []
         for c in range(ALPHABET):
             d = down.whole(c)[::-1]
+            down.drop(c)
             parts.append(d[is_lms[d]])
-        ordered = np.concatenate(parts)
-        up.close()
         down.close()
+        ordered = np.concatenate(parts)
         del up, down, parts, is_lms
         rank = np.zeros(n, dtype=lms.dtype)
         rank[ordered] = names(t, lms, ordered)
         r = rank[lms]
         del rank, ordered
-        step = 1
-        # Names reach two symbols or more, so `step` names reach 2 * step.
-        while 2 * step < depth + 2:
-            nxt = np.zeros_like(r)
-            nxt[:-step] = r[step:] + 1 if step < len(r) else 0
-            order = np.lexsort((nxt, r))
-            a, b = r[order], nxt[order]
-            new = np.empty_like(r)
-            new[order] = np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))])
-            done = len(r) == int(new.max()) + 1
-            r, step = new, step * 2
-            if done or step >= len(r):
-                break
-        lms = lms[np.argsort(r, kind="stable")]
+        kinds = int(r.max()) + 1
+        lms = lms[np.argsort(r, kind="stable") if kinds == len(r) else np.array(order_of_names(r.tolist(), kinds))]
     up, down = induce(t, small, lms, memory_items, folder)
-    out = np.concatenate([x for c in range(ALPHABET) for x in (up.whole(c), down.whole(c)[::-1])])
+    parts = []
+    for c in range(ALPHABET):
+        parts += [up.whole(c), down.whole(c)[::-1]]
+        up.drop(c)
+        down.drop(c)
     up.close()
     down.close()
-    return out
+    return np.concatenate(parts)
+
+
+def order_of_names(s: list[int], kinds: int) -> list[int]:
+    """The suffixes of s in order, by induction, with the names of its own LMS substrings sorted the same way.
+
+    s has all numbers below `kinds`, and ends with its only 0.
+    """
+    n = len(s)
+    rising = [False] * n
+    rising[-1] = True
+    for i in range(n - 2, -1, -1):
+        rising[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and rising[i + 1])
+    sizes = [0] * kinds
+    for c in s:
+        sizes[c] += 1
+    ends = list(itertools.accumulate(sizes))
+    starts = [0, *ends[:-1]]
+    lms = [i for i in range(1, n) if rising[i] and not rising[i - 1]]
+
+    def induced(seeds: list[int]) -> list[int]:
+        out, place = [-1] * n, ends.copy()
+        for i in reversed(seeds):
+            c = s[i]
+            place[c] -= 1
+            out[place[c]] = i
+        place = starts.copy()
+        for p in range(n):
+            i = out[p] - 1
+            if i >= 0 and not rising[i]:
+                c = s[i]
+                out[place[c]] = i
+                place[c] += 1
+        place = ends.copy()
+        for p in range(n - 1, -1, -1):
+            i = out[p] - 1
+            if i >= 0 and rising[i]:
+                c = s[i]
+                place[c] -= 1
+                out[place[c]] = i
+        return out
+
+    if len(lms) < 2:
+        return induced(lms)
+    until = dict(zip(lms, [*lms[1:], n - 1], strict=True))
+    name, count, before = {}, -1, None
+    for i in induced(lms):
+        if i in until:
+            own = s[i : until[i] + 1]
+            count += own != before
+            name[i], before = count, own
+    if count + 1 == len(lms):
+        return induced(sorted(lms, key=name.__getitem__))
+    return induced([lms[k] for k in order_of_names([name[i] for i in lms], count + 1)])
 
 
 def names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:

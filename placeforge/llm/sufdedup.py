@@ -48,7 +48,11 @@ HELD_RUNS = 150_000
 SORT_BYTES = 1 << 20
 #: Bytes of passages under one key from which its strings are dealt out one by one.
 HOT_BYTES = 4 << 20
-LAST = (1 << 63) - 1
+#: Bits for the number of starts of a run; what is above them is the anchor's distance from the first.
+STARTS = 15
+MOST_WIDTH = (1 << STARTS) - 1
+#: Row ids have 62 bits; this one says that the doc_id is null, and puts the row after all others.
+LAST, NULL_ID = (1 << 63) - 1, 1 << 62
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, np.ndarray] = {}
@@ -135,7 +139,7 @@ def _table(*columns) -> pa.RecordBatch:
 def _settle(h, c, doc, rid, s, n):
     """Sort runs; the first of equal passages stays (n > 0), the others are covered (n < 0).
 
-    A positive n holds the number of starts in its low byte and the anchor's distance from the first above it.
+    A positive n holds the number of starts in its low STARTS bits and the anchor's distance from the first above them.
     """
     order = np.lexsort((s, rid, doc, c, h))
     cols = [x[order] for x in (h, c, doc, rid, s, n)]
@@ -145,7 +149,7 @@ def _settle(h, c, doc, rid, s, n):
         alike[1:] &= x[1:] == x[:-1]
     h, c, doc, rid, s, n = (x[~alike] for x in cols)
     again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
-    return h, c, doc, rid, s, np.where(again, -(n & 255), n)
+    return h, c, doc, rid, s, np.where(again, -(n & MOST_WIDTH), n)
 
 
 def _settled(held: list[tuple]) -> pa.RecordBatch:
@@ -169,7 +173,7 @@ def _find_runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
             c = np.array([digest(buf[x : y + width], z) for x, y, z in zip(first.tolist(), last.tolist(), (anchor - first).tolist(), strict=True)], dtype=np.uint64)
             d = np.array(docs, dtype=np.int64)[owner]
             start = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
-            held.append((h.view(np.int64), c.view(np.int64), d[:, 0], d[:, 1], d[:, 2] + first - start[owner], (last - first + 1) | (anchor - first) << 8))
+            held.append((h.view(np.int64), c.view(np.int64), d[:, 0], d[:, 1], d[:, 2] + first - start[owner], (last - first + 1) | (anchor - first) << STARTS))
             count += len(owner)
             if count >= HELD_RUNS:
                 yield _settled(held)
@@ -227,7 +231,7 @@ def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.nonzero((same_c | (kinds[group] >= 2)) & ~alike)[0]
         if len(out):
             sent = [x[out] for x in cols]
-            sent[5] = np.where(same_c[out], -(sent[5] & 255), sent[5])
+            sent[5] = np.where(same_c[out], -(sent[5] & MOST_WIDTH), sent[5])
             yield _table(*sent)
         shared = bool(kinds[group[-1]] >= 2)
         if shared:
@@ -240,6 +244,8 @@ def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_covered(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc, rid, s, len of covered bytes for df (doc, rid, text); ranges may overlap."""
+    if not GRAM < width <= MOST_WIDTH:
+        raise ValueError(f"a width of {GRAM + 1} to {MOST_WIDTH} bytes")
     spark = df.sparkSession
     bounded_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -272,7 +278,10 @@ def find_covered(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES)
 
 
 def free(spark) -> None:
-    """Let Spark drop the shuffle files of what has been written to the shared folder."""
+    """Let Spark drop the shuffle files of what has been written to the shared folder, once for each such table.
+
+    Spark deletes them when the driver's objects are collected; on a driver with little to do that may take half an hour.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -292,7 +301,7 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
         for r, d, t, rs in zip(rid, doc, text, open_, strict=True):
             raw = t.encode("utf-8", "surrogatepass")
             for x in rs:
-                s, n, at = x["s"], x["n"] & 255, x["n"] >> 8
+                s, n, at = x["s"], x["n"] & MOST_WIDTH, x["n"] >> STARTS
                 part = raw[s : s + n + width - 1]
                 split = at - half  # starts up to here have at least `half` bytes before the anchor
                 for a, e in ((0, min(n - 1, split)), (max(0, split + 1), n - 1)):
@@ -314,7 +323,7 @@ def cover(doc: np.ndarray, rid: np.ndarray, s: np.ndarray, n: np.ndarray, texts:
     t = raw[: int(lens.sum()) + len(lens)].astype(np.int16) + 2
     t[at + lens] = SEPARATOR
     t[-1] = END
-    order = suffix_order(t, width)
+    order = suffix_order(t)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), lens + 1)
     inside = np.arange(len(t), dtype=order.dtype) - at.astype(order.dtype)[owner]
     order = order[inside[order] < n[owner[order]]]
@@ -434,28 +443,28 @@ def remove(text: str | None, ranges: list) -> tuple[bytes, int, int]:
 
 def substring_dedup(df: DataFrame, width: int = WIDTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of df (doc_id, text)."""
-    ids = df.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias("doc")).agg(F.count(F.lit(1)).alias("n"))
-    unique = ids.filter("n > 1").isEmpty()
+    unique = df.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     # Where doc_id names a row, its text needn't.
-    rid = F.lit(0).cast("long") if unique else F.xxhash64("text")
+    own = F.lit(0).cast("long") if unique else F.shiftrightunsigned(F.xxhash64("text"), 2)
+    rid = F.when(F.col("doc_id").isNull(), own.bitwiseOR(F.lit(NULL_ID))).otherwise(own)
     rows = df.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), rid.alias("rid"), "text")
     ranges = find_covered(rows, width, hot_bytes).groupBy(F.col("doc").alias("d2"), F.col("rid").alias("r2"))
     ranges = ranges.agg(F.collect_list(F.struct("s", "len")).alias("ranges")).hint("shuffle_hash")
     on = (F.col("doc") == F.col("d2")) & (F.col("rid") == F.col("r2"))
     if unique or rows.groupBy("doc", "rid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        whole = rows.join(ranges, on, "left").select("doc", "text", "ranges", F.lit(1).alias("n"))
+        whole = rows.join(ranges, on, "left").select("doc", "rid", "text", "ranges", F.lit(1).alias("n"))
     else:  # rows alike become one row with their number
         one = rows.groupBy("doc", "rid").agg(F.first("text").alias("text"), F.count(F.lit(1)).cast("int").alias("n"))
-        whole = one.join(ranges, on, "left").select("doc", "text", "ranges", "n")
+        whole = one.join(ranges, on, "left").select("doc", "rid", "text", "ranges", "n")
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         for b in batches:
             out = []
-            for d, t, found, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for d, rid, t, found, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 kept, gone, spans = remove(t, found)
-                size, d = len(kept) + gone, None if d == LAST else d
+                size, d = len(kept) + gone, None if rid >= NULL_ID else d
                 out.append((d, size, gone, spans, hashlib.sha256(kept).hexdigest()))
                 if n > 1:
                     other = (size, 1, b"") if size >= width else (0, 0, kept)

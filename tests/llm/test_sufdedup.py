@@ -14,7 +14,7 @@ def test_suffix_order_equals_sorting(memory):
     for kinds in (1, 2, 3, 20):
         for _ in range(25):
             t = [2 + rnd.randrange(kinds) for _ in range(rnd.randrange(1, 300))] + [0]
-            got = induced.suffix_order(np.array(t, dtype=np.int16), 10**6, memory_items=memory)
+            got = induced.suffix_order(np.array(t, dtype=np.int16), memory_items=memory)
             assert got.tolist() == sorted(range(len(t)), key=lambda i: t[i:])
 
 
@@ -131,3 +131,63 @@ def test_no_sort_takes_more_than_a_hot_key(monkeypatch):
         parts = [pa.RecordBatch.from_pydict({c: [r[k] for r in rows[i : i + step]] for k, c in enumerate(names)}) for i in range(0, len(rows), step)]
         passed = sum(b.num_rows for b in sufdedup._sort(iter(parts), 100, 20_000))
         assert passed == 900 and sum(taken) == 7 * 109
+
+
+def test_names_are_sorted_recursively():
+    rnd = random.Random(8)
+    for _ in range(300):
+        kinds = rnd.randrange(2, 6)
+        s = [rnd.randrange(1, kinds) for _ in range(rnd.randrange(60))] * rnd.randrange(1, 4) + [0]
+        assert induced.order_of_names(s, kinds) == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+def test_queues_spill_and_let_go(tmp_path):
+    q = induced.Queues(4, memory_items=10, folder=str(tmp_path))
+    for k in range(6):
+        q.put(k % 3, np.arange(4, dtype=np.int32) + 10 * k)
+    assert q.spilled == 16 and q.held == 8
+    assert q.whole(0).tolist() == [0, 1, 2, 3, 30, 31, 32, 33]
+    q.drop(0)
+    assert q.held == 4 and q.whole(0).tolist() == []
+    q.close()
+
+
+def test_a_sort_of_production_size_spills():
+    rnd = np.random.default_rng(1)
+    t = np.concatenate([rnd.integers(2, 28, sufdedup.SORT_BYTES), [induced.END]]).astype(np.int16)
+    small = induced.types(t)
+    lms = (np.nonzero(small[1:] & ~small[:-1])[0] + 1).astype(np.int32)
+    up, down = induced.induce(t, small, lms, induced.MEMORY_ITEMS, None)
+    assert up.spilled > 0 and down.spilled > 0
+    order = induced.suffix_order(t)
+    raw = (t.astype(np.uint8)).tobytes()
+    some = order[rnd.integers(0, len(order) - 1, 2000)]
+    assert len(np.unique(order)) == len(t)
+    at = np.nonzero(np.isin(order, some))[0]
+    assert all(raw[order[k] :][:400] <= raw[order[k + 1] :][:400] for k in at if k + 1 < len(order))
+
+
+@pytest.mark.parametrize("width", [33, 300, 400])
+def test_other_widths_equal_brute_force(spark, width):
+    rnd = random.Random(width)
+    phrase = "".join(rnd.choice("abcd ") for _ in range(900))
+    rows = []
+    for k in range(60):
+        a = rnd.randrange(300)
+        rows.append((k, "".join(rnd.choice("xyz ") for _ in range(rnd.randrange(200))) + phrase[a : a + rnd.randrange(width - 20, width + 250)] + "".join(rnd.choice("xyz ") for _ in range(rnd.randrange(200)))))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sufdedup.substring_dedup(documents(spark, rows), width).collect()}
+    assert got == substring_dedup(rows, width)
+    with pytest.raises(ValueError, match="width"):
+        sufdedup.substring_dedup(documents(spark, rows), 1 << 15)
+
+
+def test_null_and_greatest_ids(spark):
+    """A null doc_id comes after every other, the greatest one included, and both keep their ids."""
+    rnd = random.Random(3)
+    text = "".join(rnd.choice("abcdef ") for _ in range(300))
+    rows = [((1 << 63) - 1, text), (None, text), (5, "short")]
+    got = {r.doc_id: r.n_removed for r in sufdedup.substring_dedup(documents(spark, rows)).collect()}
+    assert got == {(1 << 63) - 1: 0, None: 300, 5: 0}
+    rows += [((1 << 63) - 1, "other " + text), (None, text)]
+    got = sorted(((r.doc_id or 0, r.n_bytes, r.n_removed) for r in sufdedup.substring_dedup(documents(spark, rows)).collect()), key=str)
+    assert sum(n for _, _, n in got) == 900 and sum(i == 0 for i, _, _ in got) == 2
