@@ -26,29 +26,43 @@ END, SEPARATOR = 0, 1
 
 
 class Queues:
-    """One first-in first-out queue of positions for each first character."""
+    """One first-in first-out queue of positions for each first character.
+
+    When all together hold too much, the queue that holds most sends its part to disk in one piece.
+    """
 
     def __init__(self, kinds: int = ALPHABET, memory_items: int = MEMORY_ITEMS, folder: str | None = None):
         self.blocks: list[list] = [[] for _ in range(kinds)]
+        self.sizes = [0] * kinds  # what each holds in memory
         self.held, self.most, self.folder, self.file, self.spilled = 0, memory_items, folder, None, 0
         self.kind = np.dtype(np.int64)
 
     def put(self, c: int, block: np.ndarray) -> None:
-        if self.held + len(block) > self.most:
-            if self.file is None:
-                self.file = tempfile.TemporaryFile(dir=self.folder)
-            at = self.file.seek(0, os.SEEK_END)
-            self.kind = block.dtype
-            block.tofile(self.file)
-            self.blocks[c].append((at, len(block)))
-            self.spilled += len(block)
-        else:
-            self.held += len(block)
-            self.blocks[c].append(block)
+        self.blocks[c].append(block)
+        self.sizes[c] += len(block)
+        self.held += len(block)
+        self.kind = block.dtype
+        if self.held > self.most:
+            self.spill(max(range(len(self.sizes)), key=self.sizes.__getitem__))
+
+    def spill(self, c: int) -> None:
+        if self.file is None:
+            self.file = tempfile.TemporaryFile(dir=self.folder, buffering=0)
+        at = self.file.seek(0, os.SEEK_END)
+        kept = [b for b in self.blocks[c] if isinstance(b, tuple)]
+        piece = np.concatenate([b for b in self.blocks[c] if not isinstance(b, tuple)])
+        raw = memoryview(piece).cast("B")
+        while raw:
+            raw = raw[self.file.write(raw) :]
+        self.blocks[c] = [*kept, (at, len(piece))]
+        self.spilled += len(piece)
+        self.held -= self.sizes[c]
+        self.sizes[c] = 0
 
     def drop(self, c: int) -> None:
-        """Let the memory of a queue go."""
-        self.held -= sum(len(b) for b in self.blocks[c] if not isinstance(b, tuple))
+        """Let a queue go."""
+        self.held -= self.sizes[c]
+        self.sizes[c] = 0
         self.blocks[c] = []
 
     def deal(self, positions: np.ndarray, chars: np.ndarray) -> None:
@@ -67,7 +81,10 @@ class Queues:
         for b in self.blocks[c]:
             if isinstance(b, tuple):
                 self.file.seek(b[0])
-                b = np.fromfile(self.file, dtype=self.kind, count=b[1])
+                raw = bytearray()
+                while len(raw) < b[1] * self.kind.itemsize:
+                    raw += self.file.read(b[1] * self.kind.itemsize - len(raw))
+                b = np.frombuffer(raw, dtype=self.kind)
             out.append(b)
         return out
 
