@@ -22,6 +22,8 @@ BASE = (2, 2, 4)
 #: Rows that one numbering group should hold; groups grow in number, not in size.
 GROUP_ROWS = 20_000
 LEAST_GROUPS = 16
+#: Rows alike that one task writes at a time.
+PART_ROWS = 50_000
 
 
 def tree(shards: int, base: tuple[int, int, int] = BASE, weights: dict[int, float] | None = None) -> dict:
@@ -78,18 +80,25 @@ def place(df: DataFrame, key: str, spec: dict, prefix: str) -> DataFrame:
 def number(df: DataFrame, shard: str, order: list[str], total: int) -> DataFrame:
     """Add `slot`, gapless from 0 in each shard, without ever sorting a whole shard in one task.
 
-    Rows go to hash groups within their shard. The groups' counts, a table of shards times groups, give
-    each group its first slot; a window numbers the rows of each group.
+    Rows that are alike are one row with their number until the end, however many they are; they take neighbouring slots.
+    Distinct rows go to hash groups within their shard. The groups' counts, a table of shards times groups, give
+    each group its first slot; a window numbers the rows of each group. Rows that stand for many are dealt in parts.
     """
     groups = max(LEAST_GROUPS, total // GROUP_ROWS // 16)
-    df = df.withColumn("__g", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(groups)).cast("int"))
-    counts = df.groupBy(shard, "__g").agg(F.count(F.lit(1)).alias("__n"))
+    one = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    one = one.withColumn("__g", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(groups)).cast("int"))
+    counts = one.groupBy(shard, "__g").agg(F.sum("__n").alias("__all"))
     before = Window.partitionBy(shard).orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(shard).alias("__s"), F.col("__g").alias("__sg"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__from"))
-    inner = Window.partitionBy(shard, "__g").orderBy(*order)
-    df = df.withColumn("__i", F.row_number().over(inner) - 1)
-    joined = df.join(starts, (F.col(shard) == F.col("__s")) & (F.col("__g") == F.col("__sg")))
-    return joined.withColumn("slot", (F.col("__from") + F.col("__i")).cast("long")).drop("__g", "__i", "__s", "__sg", "__from")
+    starts = counts.select(F.col(shard).alias("__s"), F.col("__g").alias("__sg"), F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__from"))
+    inner = Window.partitionBy(shard, "__g").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    one = one.withColumn("__i", F.sum("__n").over(inner) - F.col("__n"))
+    joined = one.join(starts, (F.col(shard) == F.col("__s")) & (F.col("__g") == F.col("__sg")))
+    first = (F.col("__from") + F.col("__i")).cast("long")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / PART_ROWS))).alias("__part")
+    parted = joined.select(*df.columns, "__n", first.alias("__first"), parts).repartition(*[F.col(c) for c in order], F.col("__part"))
+    low = F.col("__part") * PART_ROWS
+    each = F.explode(F.sequence(low, F.least(F.col("__n"), low + PART_ROWS) - 1)).alias("__at")
+    return parted.select(*df.columns, "__first", each).select(*df.columns, (F.col("__first") + F.col("__at")).alias("slot"))
 
 
 def hash_tree_shards(df: DataFrame, shards: int = 16) -> DataFrame:

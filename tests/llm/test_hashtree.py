@@ -54,3 +54,32 @@ def test_query_rows(spark, monkeypatch):
 def test_plan_stays_in_the_jvm(spark):
     df = hashtree.place(spark.range(10), "id", hashtree.tree(17), "")
     assert "Python" not in df.select(F.col("shard"))._jdf.queryExecution().executedPlan().toString()
+
+
+def slow_shard(spark, key, spec):
+    """The tree walked draw by draw, each draw taken from the JVM's hash on its own."""
+    import math
+
+    def u(level, child):
+        h = spark.sql(f"SELECT xxhash64({level}, {child}, {'CAST(NULL AS BIGINT)' if key is None else f'CAST({key} AS BIGINT)'}) AS h").first().h
+        return (((h & (2**64 - 1)) >> 12) + 1) / 2**52
+
+    node = spec
+    for level in range(3):
+        weights = {c: hashtree.weight(x) for c, x in node.items()}
+        weights = {c: w for c, w in weights.items() if w > 0}
+        best = next(iter(weights)) if len(weights) == 1 else min(weights, key=lambda c: (-math.log(u(level, c)) / weights[c], c))
+        node = node[best]
+    return best
+
+
+def test_shards_and_slots_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(hashtree, "PART_ROWS", 7)
+    rows = [(k, f"text {k}") for k in range(12)] + [(3, "text 3")] * 40 + [(None, None)] * 3 + [(None, "x"), (5, "other")]
+    got = hashtree.hash_tree_shards(documents(spark, rows, extra=("slot", "shard"))).collect()
+    assert len(got) == len(rows)
+    shards = {k: slow_shard(spark, k, hashtree.tree(16)) for k in {r[0] for r in rows}}
+    grown = {k: slow_shard(spark, k, hashtree.tree(17)) for k in shards}
+    assert all(r.shard == shards[r.doc_id] and r.grown_shard == grown[r.doc_id] for r in got)
+    for shard in set(shards.values()):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(shards[i] == shard for i, _ in rows)))
