@@ -11,8 +11,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeforge.operators.gates import run_gates
 from placeforge.operators.graph import reach_up
-from placeforge.plans.build import Scan, build, stats
+from placeforge.plans.build import Build, Scan, build, stats
 from placeforge.sources.writers import FORMATS, fingerprint, write_build, write_text
 
 
@@ -71,12 +72,36 @@ def trim(scan: Scan, countries: DataFrame) -> Scan:
     return Scan(scan.entities.join(keep, "id", "left_semi"), scan.subclass, by_child(scan.located_in), by_child(scan.contains), scan.polygons, scan.zones)
 
 
-def refresh(spark: SparkSession, scan: Scan, out: str, wanted: tuple[str, ...] | None = None) -> dict:
-    """Build into `out`, keeping the last build beside it as `<out>-prev`."""
-    if os.path.exists(os.path.join(out, "manifest.json")):
-        shutil.rmtree(f"{out}-prev", ignore_errors=True)
-        shutil.move(out, f"{out}-prev")
-    os.makedirs(out, exist_ok=True)
+def failed_gates(spark: SparkSession, b: Build, manifest: dict, baseline: dict | None = None) -> list[str]:
+    """The gates that a build fails, against a baseline's manifest where there is one; none means it may be published."""
+    old = manifest_rows(spark, baseline) if baseline else None
+    found = run_gates(b.countries, b.settlements, manifest_rows(spark, manifest), old)
+    return [f"{r.gate}: {r.value}" for r in found.filter("not ok").orderBy("gate").collect()]
+
+
+def refresh(spark: SparkSession, scan: Scan, out: str, wanted: tuple[str, ...] | None = None, check=None) -> dict:
+    """Build beside `out`, check, and only then take its place; the last build stays as `<out>-prev`.
+
+    check(build, manifest, last manifest or None) gives the reasons against the build, as `failed_gates` does. With any, or when
+    the build fails, `out` is left as it was and what was built stays in `<out>-new`.
+    """
+    fresh, held = f"{out}-new", os.path.join(out, "manifest.json")
+    shutil.rmtree(fresh, ignore_errors=True)
+    os.makedirs(fresh)
+    last = None
+    if os.path.exists(held):
+        with open(held, encoding="utf-8") as f:
+            last = json.load(f)
     began = time.monotonic()
     b = build(spark, scan, wanted)
-    return write_build(spark, out, b.countries, b.regions, b.settlements, stats(b, time.monotonic() - began))
+    manifest = write_build(spark, fresh, b.countries, b.regions, b.settlements, stats(b, time.monotonic() - began))
+    against = check(b, manifest, last) if check else []
+    if against:
+        raise ValueError("the build is not taken over: " + "; ".join(against))
+    if last is not None:
+        shutil.rmtree(f"{out}-prev", ignore_errors=True)
+        os.rename(out, f"{out}-prev")
+    elif os.path.isdir(out):
+        shutil.rmtree(out)
+    os.rename(fresh, out)
+    return manifest

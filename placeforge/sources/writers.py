@@ -12,6 +12,7 @@ import io
 import json
 import os
 import shutil
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -75,19 +76,31 @@ def ordered(value):
     return {k: value[k] for k in sorted(value)} if isinstance(value, dict) else value
 
 
+def around(doc: dict, key: str) -> tuple[str, str]:
+    """The compact text of doc with a list under `key`, keys in order: what stands before the list's items and after them."""
+    parts = [(k, compact({k: doc[k]}, sort_keys=True)[1:-1]) for k in sorted(doc) if k != key]
+    before = [text for k, text in parts if k < key] + [f"{json.dumps(key)}:["]
+    after = ["]"] + [text for k, text in parts if k > key]
+    return "{" + ",".join(before), ",".join(after) + "}"
+
+
 class CountryFiles:
-    """The three files of one country, fed row by row in file order."""
+    """The three files of one country, fed row by row in file order and written as they come.
+
+    Files have names of their own until they are closed, so a task that runs twice never writes into another's.
+    """
 
     def __init__(self, out: str, code: str):
         self.code, self.out = code, out
         self.paths = {"data": f"data/{code}.ndjson", "json": f"json/{code}.json", "csv": f"csv/{code}.csv"}
         self.sha = {f: hashlib.sha256() for f in FORMATS}
         self.size = dict.fromkeys(FORMATS, 0)
-        self.files = {f: open(os.path.join(out, p), "wb") for f, p in self.paths.items()}
+        self.attempt = f".{uuid.uuid4().hex}"
+        self.files = {f: open(os.path.join(out, p + self.attempt), "wb") for f, p in self.paths.items()}
         self.country: dict = {}
         self.region: dict = {}
-        self.nested: list = []
-        self.settlements = 0
+        self.regions = self.settlements = self.in_region = 0
+        self.country_end = self.region_end = ""
         self.write_csv(CSV_COLUMNS)
 
     def put(self, kind: str, raw: bytes) -> None:
@@ -100,26 +113,37 @@ class CountryFiles:
         csv.writer(line).writerow(["" if v is None else v for v in values])
         self.put("csv", line.getvalue().encode())
 
+    def begin_country(self, doc: dict) -> None:
+        self.country = doc
+        begin, self.country_end = around(doc, "regions")
+        self.put("json", begin.encode())
+
     def add(self, level: int, doc: dict) -> None:
         self.put("data", (compact({"type": ("country", "region", "settlement")[level], **doc}) + "\n").encode())
         if level == 0:
-            self.country = doc
+            self.begin_country(doc)
         elif level == 1:
-            self.region = {**doc, "settlements": []}
-            self.nested.append(self.region)
+            begin, end = around(doc, "settlements")
+            self.put("json", (self.region_end + ("," if self.regions else "") + begin).encode())
+            self.region, self.region_end, self.in_region = doc, end, 0
+            self.regions += 1
         else:
+            self.put("json", (("," if self.in_region else "") + compact(doc, sort_keys=True)).encode())
+            self.in_region += 1
             self.settlements += 1
-            self.region["settlements"].append(doc)
             c, r = self.country, self.region
             self.write_csv([c["code"], c["name"], r["id"], r["name"], r["slug"], *(doc[k] for k in CSV_COLUMNS[5:])])
 
     def close(self) -> dict:
-        self.put("json", compact({**self.country, "regions": self.nested}, sort_keys=True).encode())
-        for f in self.files.values():
-            f.close()
+        if not self.country_end:
+            self.begin_country({})
+        self.put("json", (self.region_end + self.country_end).encode())
+        for f, file in self.files.items():
+            file.close()
+            os.replace(os.path.join(self.out, self.paths[f] + self.attempt), os.path.join(self.out, self.paths[f]))
         return {
             "code": self.code, "name": self.country.get("name"), "slug": self.country.get("slug"), "id": self.country.get("id"),
-            "source": SOURCE, "regions": len(self.nested), "settlements": self.settlements, "files": self.paths,
+            "source": SOURCE, "regions": self.regions, "settlements": self.settlements, "files": self.paths,
             "sha256": {f: self.sha[f].hexdigest() for f in FORMATS}, "bytes": self.size,
         }
 

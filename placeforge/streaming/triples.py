@@ -1,8 +1,8 @@
-"""The dump scan as a stream: new dump files become statements, and each micro-batch updates the records.
+"""The dump scan as a stream: new dump files become statements, from which records are made when they are asked for.
 
-The batch scan needs every statement of a subject at once. A stream keeps the parsed statements as an
-append-only table and rebuilds the records of the subjects that a batch touched, so results equal those of the
-batch scan over all files seen so far.
+The batch scan needs every statement of a subject at once. The stream keeps the parsed statements as an
+append-only table; `records` groups all of it, or only the subjects that the given batches touched, and its results equal
+those of the batch scan over all files seen so far.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ def start(spark: SparkSession, folder: str, out: str, checkpoint: str, files_per
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def records(spark: SparkSession, out: str) -> DataFrame:
-    """The records of all statements so far."""
-    return group_subjects(spark.read.parquet(f"{out}/statements").drop("batch"))
+def records(spark: SparkSession, out: str, batches: list[int] | None = None) -> DataFrame:
+    """The records of all statements so far; with batch numbers, of the subjects that those batches touched."""
+    every = spark.read.parquet(f"{out}/statements")
+    if batches is not None:
+        every = every.join(every.filter(F.col("batch").isin(batches)).select("subject").distinct(), "subject", "left_semi")
+    return group_subjects(every.drop("batch"))

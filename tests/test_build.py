@@ -113,6 +113,19 @@ def test_publish(spark, tmp_path):
     release.publish(str(out), str(target), "v1", force=True)
 
 
+def test_a_build_that_fails_its_gates_is_not_taken_over(spark, tmp_path):
+    s, out = world.scan(spark, coded=True), tmp_path / "out"
+    first = release.refresh(spark, s, str(out))
+    before = files(out, first)
+    with pytest.raises(ValueError, match="too few"):
+        release.refresh(spark, s, str(out), check=lambda b, m, last: ["too few"] if last == first else [])
+    assert files(out, first) == before and (tmp_path / "out-new/manifest.json").exists() and not (tmp_path / "out-prev").exists()
+    seen = []
+    release.refresh(spark, s, str(out), check=lambda b, m, last: seen.append(release.failed_gates(spark, b, m, last)) or [])
+    assert files(out, first) == before and (tmp_path / "out-prev/manifest.json").exists() and not (tmp_path / "out-new").exists()
+    assert not any("loss" in x or "ratio" in x for x in seen[0])
+
+
 def test_trim(spark):
     other = [world.record(5, country="Q4", instance_of=["Q900004"], labels={"en": "Far"})]
     s = world.scan(spark, coded=True, extra=other)

@@ -247,6 +247,8 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.id: r for r in stream.records(spark, str(tmp_path / "out")).collect()}
     assert sorted(got[5].located_in) == ["Q6", "Q7"] and got[5].dissolved == "somevalue" and got[8].contains == ["Q5"]
+    touched = {r.id: r for r in stream.records(spark, str(tmp_path / "out"), [0]).collect()}
+    assert touched and all(got[k] == r for k, r in touched.items())  # whole records of what the batch touched
 
 
 def test_tier_rules(spark):
@@ -270,3 +272,27 @@ def test_gates_flip_once(spark):
     assert not ok(countries, rows.filter("country_code <> 'C1'"), man(1))["capitals missing"]
     assert not ok(countries.withColumn("capital_name", F.lit("")), rows, man(1))["capitals named"]
     assert not ok(countries, rows.withColumn("latitude", F.lit(None).cast("string")), man(1))["coordinate coverage"]
+
+
+def test_country_files_are_whole_and_nested(tmp_path):
+    from placeforge.sources import writers
+
+    for f in writers.FORMATS:
+        (tmp_path / f).mkdir()
+    settlement = lambda k: dict.fromkeys(writers.CSV_COLUMNS[5:]) | {"id": k, "name": f"s{k}é"}
+    country = {"code": "ZZ", "name": "Zed", "slug": "zed", "id": 9, "zz": [1], "alpha": None}
+    rows = [(0, country), (1, {"id": 1, "name": "R", "slug": "r", "tail": 1}), (2, settlement(3)), (2, settlement(4)), (1, {"id": 2, "name": "S", "slug": "s"})]
+    files_ = writers.CountryFiles(str(tmp_path), "ZZ")
+    for level, doc in rows:
+        files_.add(level, doc)
+    assert not (tmp_path / "json/ZZ.json").exists()
+    entry = files_.close()
+    want = {**country, "regions": [{**rows[1][1], "settlements": [settlement(3), settlement(4)]}, {**rows[4][1], "settlements": []}]}
+    raw = (tmp_path / "json/ZZ.json").read_text(encoding="utf-8")
+    assert raw == writers.compact(want, sort_keys=True) and entry["bytes"]["json"] == len(raw.encode())
+    assert (entry["regions"], entry["settlements"]) == (2, 2) and len((tmp_path / "data/ZZ.ndjson").read_text().splitlines()) == 5
+    assert sorted(p.name for f in writers.FORMATS for p in (tmp_path / f).iterdir()) == ["ZZ.csv", "ZZ.json", "ZZ.ndjson"]
+    empty = writers.CountryFiles(str(tmp_path), "AA")
+    empty.add(0, {"code": "AA"})
+    empty.close()
+    assert (tmp_path / "json/AA.json").read_text() == '{"code":"AA","regions":[]}'
