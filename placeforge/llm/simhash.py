@@ -2,14 +2,14 @@
 
 A fingerprint of 64 bits is cut into blocks of 23, 23 and 18 bits. The anchors of a block are the words of
 the perfect binary Golay code (length 23, covering radius 3), so every block value has one home anchor
-within 3 bits. Two fingerprints at most t bits apart differ in at most t // 3 bits in some block; there the
-home anchor of either is within 3 + t // 3 bits of the other. So each distinct fingerprint goes to all
-anchors within that distance, and at each anchor those at home are compared with all that came.
+within 3 bits. Two fingerprints at most t bits apart differ in at most d = t // 3 bits in some block. Take the value
+half way between the two there: its home anchor is within 3 + d // 2 bits of either one, whichever is meant to be nearer,
+and within 3 + (d + 1) // 2 of the other. So each distinct fingerprint goes to all anchors within the greater distance,
+and at each anchor those within the smaller one, who are at home there, are compared with all that came.
 
 Past PAIRED_FROM distinct fingerprints an anchor is a pair of code words, of two blocks at a time: some two
-blocks differ in at most 2 * t // 3 bits together, so a fingerprint goes to all pairs whose distances exceed
-the radius by no more than that in sum. That is more copies of each and far fewer at each anchor; the links
-are the same.
+blocks differ in at most 2 * t // 3 bits together, and half of that in sum is what distances may exceed the radius by.
+That is more copies of each and far fewer at each anchor; the links are the same.
 
 Equal fingerprints are one fingerprint before anything is copied. An anchor's links leave it as a spanning
 star for each group, never as all pairs. A crowded anchor is cut into tiles on both sides, so many at home against so
@@ -54,7 +54,7 @@ TILE, ARRIVALS = 8192, 65_536
 MOST_ROUNDS = 60
 #: What `keep_first` takes for near copies: words in a shingle and Jaccard similarity.
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
-#: The radius in which it looks for candidates; 9, 10 and 11 bits cost the same copies.
+#: The radius in which it looks for candidates, some 65 copies of each; 9, 10 and 11 bits cost the same.
 STAGE_THRESHOLD = 11
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -142,7 +142,9 @@ class Covering:
 
     def __init__(self, threshold: int = THRESHOLD, blocks: tuple[int, ...] = BLOCKS, together: int = 1):
         self.blocks = blocks
-        self.over = together * threshold // len(blocks)
+        differing = together * threshold // len(blocks)
+        #: What distances may exceed the radius by, for those that come and for those at home.
+        self.over, self.near = (differing + 1) // 2, differing // 2
         self.sets = list(itertools.combinations(range(len(blocks)), together))
         self.patterns = _patterns(RADIUS + self.over)
         weight = np.bitwise_count(np.maximum(self.patterns, 0).astype(np.uint64)).astype(np.int64)
@@ -153,7 +155,7 @@ class Covering:
         self.copies = len(self.sets) * float(sum(spread))
 
     def anchors(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, anchor and whether it's the home anchor, over all blocks or pairs of blocks."""
+        """Row, anchor and whether it's at home there, over all blocks or pairs of blocks."""
         words, excess, shift = [], [], 0
         for width in self.blocks:
             x = ((fps >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
@@ -165,11 +167,11 @@ class Covering:
         for k, own in enumerate(self.sets):
             if len(own) == 1:
                 i, j = np.nonzero(excess[own[0]] <= self.over)
-                key, home = words[own[0]][i, j], j == 0  # the first pattern is the lightest
+                key, home = words[own[0]][i, j], excess[own[0]][i, j] <= self.near
             else:
                 a, b = own
                 i, j, l = np.nonzero(excess[a][:, :, None] + excess[b][:, None, :] <= self.over)
-                key, home = words[a][i, j] << 12 | words[b][i, l], (j == 0) & (l == 0)
+                key, home = words[a][i, j] << 12 | words[b][i, l], excess[a][i, j] + excess[b][i, l] <= self.near
             rows.append(i)
             keys.append(k << (12 * len(own)) | key)
             homes.append(home)
@@ -227,7 +229,7 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, most: int | None = No
     """
     spark = distinct.sparkSession
     names = [c for c in ("fp", "fp2") if c in distinct.columns]
-    # Pairs of anchors for a wide radius would be thousands of copies.
+    # Pairs of anchors for a wide radius would be hundreds of copies.
     together = 2 if 2 * threshold // len(BLOCKS) <= RADIUS and distinct.count() >= PAIRED_FROM else 1
     step = max(1, int(40_000_000 / (64 * Covering(threshold, together=together).copies)))
 
