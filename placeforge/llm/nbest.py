@@ -41,7 +41,7 @@ MARK = "▁"
 #: What a byte piece scores below the least of the others.
 BYTE_LOSS = 10.0
 #: Distinct words that one worker process remembers, and as many again from before; longer ones are searched each time.
-REMEMBERED, LONGEST_REMEMBERED = 100_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 #: Characters that no piece should hold beside others.
 PUNCTUATION = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
