@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from placeforge import constants as K
 from placeforge.functions.columns import with_prefix
 from placeforge.operators.classify import excluded_division, gone, has_class, is_country, not_a_place
-from placeforge.operators.graph import ancestors, nearest_seed, root_most
+from placeforge.operators.graph import ancestors, nearest_seed
 
 
 def countries(entities: DataFrame, wanted: tuple[str, ...] | None = None) -> DataFrame:
