@@ -78,7 +78,7 @@ def labelled(
     n = known.count()
     if n > most:
         known = known.filter(F.pmod(F.xxhash64("__id", F.lit(10)), F.lit(1 << 20)) < F.lit(int((1 << 20) * most / n)))
-    rows = df.join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
+    rows = df.select("doc_id", *columns).join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
     rows = rows.select("__id", "__y", F.xxhash64("__id", *[F.col(c) for c in columns]).alias("__h"), *columns)
 
     def outer():
