@@ -9,7 +9,7 @@ from placeforge import constants as K
 from placeforge.functions import columns, naming, text
 from placeforge.operators import assemble, collisions, gates, placement, spatial, tiers
 from placeforge.queries.graphs import supplier_codes
-from placeforge.queries.views import POINTS_SQL, ROWS_SQL, points, rows, table
+from placeforge.queries.views import POINTS_SQL, ROWS_SQL, points, position, rows, table
 from placeforge.sources.writers import fingerprint_column, row_json
 
 
@@ -393,9 +393,10 @@ CASE WHEN rn = 1 THEN 'place-' || g ELSE 'place-' || g || '-parent-' || id END A
 
 
 def a5_absorb(spark, sf_dir):
+    """Lines of one order as one; of lines equal in `pos` the first of the table counts, as in its SQL on one thread."""
     li = table(spark, sf_dir, "lineitem")
-    r = li.select("l_orderkey", (F.col("l_linenumber").cast("long") * 1_000_000_000 + F.col("l_partkey")).alias("pos"), F.when(F.col("l_partkey") % 3 == 0, F.col("l_partkey").cast("string")).alias("part"), F.when(F.col("l_suppkey") % 2 == 0, "").otherwise(F.col("l_suppkey").cast("string")).alias("supp"))
-    return collisions.absorb_groups(r, "l_orderkey", "pos", ["part", "supp"])
+    r = li.select("l_orderkey", (F.col("l_linenumber").cast("long") * 1_000_000_000 + F.col("l_partkey")).alias("pos"), F.when(F.col("l_partkey") % 3 == 0, F.col("l_partkey").cast("string")).alias("part"), F.when(F.col("l_suppkey") % 2 == 0, "").otherwise(F.col("l_suppkey").cast("string")).alias("supp"), position(li).alias("at"))
+    return collisions.absorb_groups(r, "l_orderkey", "pos", ["part", "supp"], ties=("at",))
 
 
 A5 = """WITH r AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey AS pos, CASE WHEN l_partkey % 3 = 0 THEN CAST(l_partkey AS VARCHAR) END AS part, CASE WHEN l_suppkey % 2 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS supp FROM lineitem)

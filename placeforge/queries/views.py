@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def position(df: DataFrame) -> Column:
+    """Where a row stands in a table as read: files by name, rows as they lie in them."""
+    row = F.col("_metadata.row_index")
+    return row if len(df.inputFiles()) == 1 else F.struct(F.col("_metadata.file_path").alias("file"), row.alias("row"))
+
+
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges nation -> region, customer -> nation, supplier -> nation, with ids apart."""
     n, c, s = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placeforge import constants as K
 from placeforge.functions.text import fixed, slug
 from placeforge.operators import classify, collisions, gates, graph, placement, spatial, tiers
+from placeforge.queries import places
 from placeforge.sources import files, shapefile, triples
 
 EDGE = "child long, parent long"
@@ -110,6 +111,34 @@ def test_collisions_merge(spark):
     assert collisions.merge_close(place_rows(spark, {6: groups[6]})).count() == 1
 
 
+def test_absorbed_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(1, 5, "c", "z", 1), (1, 5, "b", "y", 0), (1, 5, "", "x", 2), (1, None, "a", "a", 3), (2, 4, None, "w", 4)]
+    for data in (rows, rows[::-1]):
+        df = spark.createDataFrame(data, "g int, pos int, v string, w string, at int").coalesce(1)
+        assert [tuple(r) for r in collisions.absorb_groups(df, "g", "pos", ["v", "w"], {"w": "v"}).orderBy("g").collect()] == [(1, 5, "b", "y"), (2, 4, None, None)]
+        assert [tuple(r) for r in collisions.absorb_groups(df, "g", "pos", ["v", "w"], ties=("at",)).orderBy("g").collect()] == [(1, 5, "b", "y"), (2, 4, None, "w")]
+
+
+def test_absorb_query_takes_the_first_line_of_the_table(spark, tmp_path):
+    """Of lines of one order, number and part the SQL takes the first on one thread, also where the table is several files."""
+    import duckdb
+
+    lines = [(k % 50, k % 2 + 1, k % 3, (k * 7919) % 1000) for k in range(2000)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"
+    whole, parts = tmp_path / "whole", tmp_path / "parts"
+    spark.createDataFrame(lines, schema).coalesce(1).write.parquet(str(whole / "lineitem.parquet"))
+    for k, cut in enumerate((slice(0, 50), slice(50, 2000))):
+        spark.createDataFrame(lines[cut], schema).coalesce(1).write.parquet(str(tmp_path / f"cut{k}"))
+        (parts / "lineitem.parquet").mkdir(parents=True, exist_ok=True)
+        next((tmp_path / f"cut{k}").glob("*.parquet")).rename(parts / "lineitem.parquet" / f"part-{k}.parquet")
+    for folder in (whole, parts):
+        con = duckdb.connect(config={"threads": 1})
+        con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet/*.parquet'")
+        want = con.sql(places.A5).fetchall()
+        got = [tuple(r) for r in places.a5_absorb(spark, str(folder)).collect()]
+        assert sorted(got) == sorted(want) and len(got) == 50
+
+
 def test_collisions_qualify(spark):
     groups = {
         7: ([place_row(1, "Aach", 48.4675, 8.478611, "Q7167", "Zollernalbkreis"), place_row(2, "Aach", 47.8425, 8.853889, "Q7169", "Konstanz")], ["Aach", "Aach (Konstanz)"]),
