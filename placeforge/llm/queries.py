@@ -13,8 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return fertility.fertility(docs, fertility.calibrate(docs, table(spark, sf_dir, "labels")))
+    return fertility.calibrated_fertility(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_url_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
