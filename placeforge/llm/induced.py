@@ -13,14 +13,16 @@ Common prefixes aren't carried along: neighbours are compared eight bytes at a t
 
 from __future__ import annotations
 
-import itertools
 import os
 import tempfile
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Positions that all queues of one induction hold in memory together.
 MEMORY_ITEMS = 1 << 18
+#: Positions from which a block is large enough to be worth a pass of its own.
+BLOCK_ITEMS = 1 << 15
 ALPHABET = 258  # the end, a separator, and 256 bytes
 END, SEPARATOR = 0, 1
 
@@ -97,6 +99,19 @@ class Queues:
             self.file.close()
 
 
+def joined(blocks: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
+    """The same positions in the same order, small blocks put together."""
+    held, size = [], 0
+    for b in blocks:
+        held.append(b)
+        size += len(b)
+        if size >= BLOCK_ITEMS:
+            yield held[0] if len(held) == 1 else np.concatenate(held)
+            held, size = [], 0
+    if held:
+        yield held[0] if len(held) == 1 else np.concatenate(held)
+
+
 def types(t: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the one after it (type S); the end is S."""
     n = len(t)
@@ -131,7 +146,7 @@ def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int,
         wave = up.take(c)
         while wave:
             again = []
-            for block in wave:
+            for block in joined(wave):
                 p, ch = before(block, False)
                 same = ch == c
                 if same.any():
@@ -149,7 +164,7 @@ def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int,
         wave = down.take(c)
         while wave:
             again = []
-            for block in wave:
+            for block in joined(wave):
                 p, ch = before(block, True)
                 same = ch == c
                 if same.any():
@@ -158,8 +173,8 @@ def induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, memory_items: int,
             for block in again:
                 down.put(c, block)
             wave = again
-        for block in reversed(up.take(c)):
-            p, ch = before(block[::-1], True)
+        for block in joined(b[::-1] for b in reversed(up.take(c))):
+            p, ch = before(block, True)
             down.deal(p, ch)
     return up, down
 
@@ -204,52 +219,61 @@ def order_of_names(s: list[int], kinds: int) -> list[int]:
 
     s has all numbers below `kinds`, and ends with its only 0.
     """
-    n = len(s)
-    rising = [False] * n
-    rising[-1] = True
-    for i in range(n - 2, -1, -1):
-        rising[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and rising[i + 1])
-    sizes = [0] * kinds
-    for c in s:
-        sizes[c] += 1
-    ends = list(itertools.accumulate(sizes))
-    starts = [0, *ends[:-1]]
-    lms = [i for i in range(1, n) if rising[i] and not rising[i - 1]]
-
-    def induced(seeds: list[int]) -> list[int]:
-        out, place = [-1] * n, ends.copy()
-        for i in reversed(seeds):
-            c = s[i]
-            place[c] -= 1
-            out[place[c]] = i
-        place = starts.copy()
-        for p in range(n):
-            i = out[p] - 1
-            if i >= 0 and not rising[i]:
-                c = s[i]
-                out[place[c]] = i
-                place[c] += 1
-        place = ends.copy()
-        for p in range(n - 1, -1, -1):
-            i = out[p] - 1
-            if i >= 0 and rising[i]:
-                c = s[i]
-                place[c] -= 1
-                out[place[c]] = i
+    t, n = np.array(s, dtype=np.int64), len(s)
+    small = types(t)
+    lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
+    sizes = np.bincount(t, minlength=kinds)
+    ends = np.cumsum(sizes)
+
+    def before(is_small: bool) -> list[int]:
+        """The symbol before each suffix where that is one of this type, else -1; so too for -1, an empty slot."""
+        return np.concatenate([[-1], np.where(small[:-1] == is_small, t[:-1], -1), [-1]]).tolist()
+
+    def induced(seeds: np.ndarray) -> list[int]:
+        first = t[seeds]
+        order = np.argsort(first, kind="stable")
+        first = first[order]
+        slots = np.full(n, -1, dtype=np.int64)
+        slots[ends[first] - np.searchsorted(first, first, side="right") + np.arange(len(first))] = seeds[order]
+        out = slots.tolist()
+        del first, order, slots
+        place, symbol = (ends - sizes).tolist(), before(False)
+        for i in out:  # meets what is put further on
+            c = symbol[i]
+            if c >= 0:
+                p = place[c]
+                out[p] = i - 1
+                place[c] = p + 1
+        place = symbol = None
+        place, symbol = ends.tolist(), before(True)
+        for i in reversed(out):
+            c = symbol[i]
+            if c >= 0:
+                place[c] = p = place[c] - 1
+                out[p] = i - 1
         return out
 
     if len(lms) < 2:
         return induced(lms)
-    until = dict(zip(lms, [*lms[1:], n - 1], strict=True))
-    name, count, before = {}, -1, None
-    for i in induced(lms):
-        if i in until:
-            own = s[i : until[i] + 1]
-            count += own != before
-            name[i], before = count, own
+    is_lms = np.zeros(n, dtype=bool)
+    is_lms[lms] = True
+    until = np.full(n, n, dtype=np.int64)
+    until[lms[:-1]] = lms[1:] + 1
+    ordered = np.array(induced(lms))
+    ordered = ordered[is_lms[ordered]]
+    found, count, last = [], -1, None
+    for i, e in zip(ordered.tolist(), until[ordered].tolist(), strict=True):
+        own = s[i:e]
+        count += own != last
+        found.append(count)
+        last = own
     if count + 1 == len(lms):
-        return induced(sorted(lms, key=name.__getitem__))
-    return induced([lms[k] for k in order_of_names([name[i] for i in lms], count + 1)])
+        return induced(ordered)
+    name = np.zeros(n, dtype=np.int64)
+    name[ordered] = found
+    inner = name[lms].tolist()
+    del until, ordered, found, name, is_lms
+    return induced(lms[order_of_names(inner, count + 1)])
 
 
 def names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:

@@ -169,6 +169,30 @@ def test_a_sort_of_production_size_spills():
     assert all(raw[order[k] :][:400] <= raw[order[k + 1] :][:400] for k in at if k + 1 < len(order))
 
 
+def test_a_sort_takes_few_passes(monkeypatch):
+    """Small blocks of a queue are taken together, so passes don't multiply from bucket to bucket."""
+    passes = []
+    deal = induced.Queues.deal
+    monkeypatch.setattr(induced.Queues, "deal", lambda q, p, ch: passes.append(len(p)) or deal(q, p, ch))
+    rnd = np.random.default_rng(2)
+    t = np.concatenate([rnd.integers(2, 28, 1 << 17), [induced.END]]).astype(np.int16)
+    small = induced.types(t)
+    lms = (np.nonzero(small[1:] & ~small[:-1])[0] + 1).astype(np.int32)
+    induced.induce(t, small, lms, induced.MEMORY_ITEMS, None)
+    assert 0 < sum(map(bool, passes)) < 26 * 20
+
+
+@pytest.mark.parametrize("items", [1, 3, 50])
+def test_blocks_of_any_size_sort_alike(monkeypatch, items):
+    monkeypatch.setattr(induced, "BLOCK_ITEMS", items)
+    rnd = random.Random(6)
+    for kinds in (1, 2, 4):
+        for memory in (8, 10**6):
+            t = [2 + rnd.randrange(kinds) for _ in range(400)] + [0]
+            got = induced.suffix_order(np.array(t, dtype=np.int16), memory_items=memory)
+            assert got.tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
 @pytest.mark.parametrize("width", [33, 300, 400])
 def test_other_widths_equal_brute_force(spark, width):
     rnd = random.Random(width)
